@@ -1,9 +1,9 @@
 """Lookups, gaps and matches between tables.
 
-No join carries a broadcast hint. Catalyst broadcasts a side only if its measured size is below
-`spark.sql.autoBroadcastJoinThreshold`, AQE checks again with the real size at run time, and
-beyond it both sides are shuffled, where AQE splits the partitions of hot keys (all joins here
-keep the big side on the left, which skew splitting supports).
+A side is broadcast only if its size is known to be small: Catalyst compares file sizes with
+`spark.sql.autoBroadcastJoinThreshold`, and `broadcast_if_small` measures a side whose size
+Catalyst cannot know. Beyond that both sides are shuffled, and AQE splits the partitions of hot
+keys; all joins here keep the big side on the left, which skew splitting supports.
 """
 
 from __future__ import annotations
@@ -12,6 +12,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Bytes of text that a measured dimension may have to be sent to every executor.
+BROADCAST_BYTES = 32 * 1024 * 1024
+
+
+def broadcast_if_small(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a dimension for broadcast if its rows, measured as JSON text, stay below `max_bytes`.
+
+    Catalyst guesses the size of a joined dimension as the product of its inputs and so would
+    shuffle the whole fact table for a dimension of a few thousand rows. Runs one aggregation
+    over the dimension; a bigger one is returned as it is, for a shuffled join.
+    """
+    size = dim.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
+    return F.broadcast(dim) if size is None or size <= max_bytes else dim
+
+
 def lookup_left(fact: DataFrame, dim: DataFrame, on: dict[str, str], take: list[str]) -> DataFrame:
     """Every fact row with the `take` columns of its dimension row, NULL if there is none.
 
@@ -46,8 +61,8 @@ def unknown_values(df: DataFrame, column: str, known: DataFrame, known_column: s
 
 def unknown_headers(wide: DataFrame, id_column: str, known: DataFrame, known_column: str) -> DataFrame:
     """Column names of a wide table, `location`, that are not known."""
-    names = [name for name in wide.columns if name != id_column]
-    headers = wide.sparkSession.createDataFrame([(name,) for name in names], "location string")
+    names = F.array(*[F.lit(name) for name in wide.columns if name != id_column])
+    headers = wide.sparkSession.range(1).select(F.explode(names).alias("location"))
     return missing_from(headers, known, {"location": known_column})
 
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from atmolake.operators.lookups import broadcast_if_small
 from atmolake.operators.staging import stage_air_quality, stage_pws, stage_weather
 from atmolake.plans import core
 from atmolake.schemas import SEEDS
@@ -13,13 +15,15 @@ from atmolake.sinks.materialize import incremental_append, materialize_table
 from atmolake.sources.csv_files import scan_seed
 from atmolake.sources.tables import source
 
-# Keys by which an incremental model knows a row it has already.
-MODEL_KEYS = {
-    "air_quality": ["location", "datetime"],
-    "weather": ["location", "datetime"],
-    "personal_weather": ["place", "datetime"],
-    "uv": ["place", "datetime"],
-}
+# The readings have no key that is sure to be unique (a place may have two stations, a station may
+# have no place), so what is new is told row by row; `uv` has one row per place and hour.
+UV_KEYS = ["place", "city", "state", "datetime"]
+
+
+MODEL_NAMES = [
+    "stg_hourly_air_quality", "stg_hourly_weather", "stg_hourly_pws_weather", "full_locations", "air_quality",
+    "weather", "personal_weather", "full_weather_places", "uv", "livability_score",
+]
 
 
 @dataclass(frozen=True)
@@ -48,58 +52,88 @@ class Bronze:
         return cls(**{table: source(spark, table, root, test_run) for table in tables})
 
 
-def models(bronze: Bronze, seeds: Seeds) -> dict[str, DataFrame]:
-    """Every model as a lazy DataFrame; nothing runs before one of them is used."""
-    built = {
-        "stg_hourly_air_quality": stage_air_quality(bronze.hourly_air_quality),
-        "stg_hourly_weather": stage_weather(bronze.hourly_weather),
-        "stg_hourly_pws_weather": stage_pws(bronze.hourly_pws_weather),
-        "full_locations": core.full_locations(seeds.state_locations, seeds.city_places, seeds.city_states),
-    }
-    locations = built["full_locations"]
-    built["air_quality"] = core.air_quality(
-        built["stg_hourly_air_quality"], seeds.air_quality_indicators, seeds.air_quality_warning, locations
-    )
-    built["weather"] = core.weather(built["stg_hourly_weather"], locations)
-    built["personal_weather"] = core.personal_weather(built["stg_hourly_pws_weather"], locations)
-    built["full_weather_places"] = core.full_weather_places(
-        built["weather"], built["air_quality"], built["personal_weather"]
-    )
-    built["uv"] = core.uv(built["full_weather_places"], seeds.uv_info)
-    built["livability_score"] = core.livability_score(built["full_weather_places"])
-    return built
-
-
-def run(bronze: Bronze, seeds: Seeds, warehouse: str, mode: str = "per_key") -> dict[str, DataFrame]:
+class Models:
+    """Every model as a lazy DataFrame, built when it is first asked for."""
+
+    def __init__(self, bronze: Bronze, seeds: Seeds):
+        self.bronze = bronze
+        self.seeds = seeds
+
+    @cached_property
+    def stg_hourly_air_quality(self) -> DataFrame:
+        return stage_air_quality(self.bronze.hourly_air_quality)
+
+    @cached_property
+    def stg_hourly_weather(self) -> DataFrame:
+        return stage_weather(self.bronze.hourly_weather)
+
+    @cached_property
+    def stg_hourly_pws_weather(self) -> DataFrame:
+        return stage_pws(self.bronze.hourly_pws_weather)
+
+    @cached_property
+    def full_locations(self) -> DataFrame:
+        return core.full_locations(self.seeds.state_locations, self.seeds.city_places, self.seeds.city_states)
+
+    @cached_property
+    def locations(self) -> DataFrame:
+        """The locations as the side of a join, their size checked once for all models."""
+        return broadcast_if_small(self.full_locations)
+
+    @cached_property
+    def air_quality(self) -> DataFrame:
+        return core.air_quality(
+            self.stg_hourly_air_quality,
+            self.seeds.air_quality_indicators,
+            self.seeds.air_quality_warning,
+            self.locations,
+        )
+
+    @cached_property
+    def weather(self) -> DataFrame:
+        return core.weather(self.stg_hourly_weather, self.locations)
+
+    @cached_property
+    def personal_weather(self) -> DataFrame:
+        return core.personal_weather(self.stg_hourly_pws_weather, self.locations)
+
+    @cached_property
+    def full_weather_places(self) -> DataFrame:
+        return core.full_weather_places(self.weather, self.air_quality, self.personal_weather)
+
+    @cached_property
+    def uv(self) -> DataFrame:
+        return core.uv(self.full_weather_places, self.seeds.uv_info)
+
+    @cached_property
+    def livability_score(self) -> DataFrame:
+        return core.livability_score(self.full_weather_places)
+
+
+def run(bronze: Bronze, seeds: Seeds, warehouse: str, high_mark_only: bool = False) -> dict[str, DataFrame]:
     """Bring all models up to date below `warehouse` and return them.
 
     Locations and combined places are rebuilt, the enriched readings and `uv` grow by what is new,
     staging and `livability_score` stay views. Each table is read back from its files, so no
     model recomputes the ones before it, and lost executors cost only the work in flight.
+
+    A second run over the same bronze data adds nothing. `high_mark_only` takes only rows later
+    than all before, and so loses late ones.
     """
-    lazy = models(bronze, seeds)
-    built = {name: lazy[name] for name in lazy if name.startswith("stg_")}
-    locations = built["full_locations"] = materialize_table(lazy["full_locations"], f"{warehouse}/full_locations")
-
-    def grow(name: str, df: DataFrame) -> DataFrame:
-        return incremental_append(df, f"{warehouse}/{name}", "datetime", MODEL_KEYS[name], mode)
-
-    built["air_quality"] = grow(
-        "air_quality",
-        core.air_quality(
-            built["stg_hourly_air_quality"], seeds.air_quality_indicators, seeds.air_quality_warning, locations
-        ),
-    )
-    built["weather"] = grow("weather", core.weather(built["stg_hourly_weather"], locations))
-    built["personal_weather"] = grow(
-        "personal_weather", core.personal_weather(built["stg_hourly_pws_weather"], locations)
-    )
-    built["full_weather_places"] = materialize_table(
-        core.full_weather_places(built["weather"], built["air_quality"], built["personal_weather"]),
-        f"{warehouse}/full_weather_places",
-        "datetime",
-    )
-    places = built["full_weather_places"]
-    built["uv"] = grow("uv", core.uv(places, seeds.uv_info))
-    built["livability_score"] = core.livability_score(places)
-    return built
+    lazy = Models(bronze, seeds)
+
+    def rebuild(name: str, datetime: str | None = None) -> DataFrame:
+        return materialize_table(getattr(lazy, name), f"{warehouse}/{name}", datetime)
+
+    def grow(name: str, keys: list[str] | None = None) -> DataFrame:
+        mode = "global" if high_mark_only else "per_key" if keys else "per_row"
+        return incremental_append(getattr(lazy, name), f"{warehouse}/{name}", "datetime", keys, mode)
+
+    # Each table read back takes the place of its plan, before the models after it are built.
+    lazy.full_locations = rebuild("full_locations")
+    lazy.air_quality = grow("air_quality")
+    lazy.weather = grow("weather")
+    lazy.personal_weather = grow("personal_weather")
+    lazy.full_weather_places = rebuild("full_weather_places", "datetime")
+    lazy.uv = grow("uv", UV_KEYS)
+    return {name: getattr(lazy, name) for name in MODEL_NAMES}

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 _WEATHER_TEXT = (
     "class obs_name temp min_temp max_temp feels_like dewPt wc heat_index pressure pressure_tend pressure_desc "
     "wspd wdir wdir_cardinal gust rh clds precip_total precip_hrly uv_desc uv_index vis water_temp day_ind "
@@ -113,20 +111,16 @@ BRONZE_PWS = {
 BRONZE_AIR_QUALITY = ["location", "datetime", "value"]
 
 
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
-
-
 SEEDS = {
-    "state_locations": _struct(
+    "state_locations": (
         "Identifying_Location string, Place string, Latitude double, Longitude double, Postcode string, "
         "ICAO string, PWStation string, Missing_Data string, address string"
     ),
-    "city_places": _struct("Place string, City string"),
-    "city_states": _struct("City string, State string"),
-    "air_quality_indicators": _struct("pollutant string, symbol string, meaning string, unit string"),
-    "air_quality_warning": _struct("label string, pollutant string, warning_message string, should_report boolean"),
-    "uv_info": _struct(
+    "city_places": "Place string, City string",
+    "city_states": "City string, State string",
+    "air_quality_indicators": "pollutant string, symbol string, meaning string, unit string",
+    "air_quality_warning": "label string, pollutant string, warning_message string, should_report boolean",
+    "uv_info": (
         "uv_level int, exposure_category string, short_description string, long_description string"
     ),
 }

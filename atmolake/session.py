@@ -37,6 +37,7 @@ def local_session(cores: int | str = "*", memory: str = "8g", shuffle_partitions
         .appName("atmolake")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     spark = builder.getOrCreate()

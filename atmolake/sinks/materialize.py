@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from atmolake.sinks.writers import append_table, by_date, replace_table
 
-MODES = ("per_key", "global")
+MODES = ("per_key", "per_row", "global")
 
 
 def materialize_view(df: DataFrame, name: str) -> DataFrame:
@@ -51,11 +51,8 @@ def newer_than_table(df: DataFrame, target: DataFrame, datetime: str) -> DataFra
     return df if high is None else df.filter(F.col(datetime) > F.lit(high).cast(df.schema[datetime].dataType))
 
 
-def not_in_table(df: DataFrame, target: DataFrame, datetime: str, keys: list[str]) -> DataFrame:
-    """Rows whose key the target does not have yet, however late they are.
-
-    Only those dates of the target are read that the new rows can touch.
-    """
+def _in_reach(df: DataFrame, target: DataFrame, datetime: str) -> DataFrame:
+    """The part of the target that the rows of `df` can meet: their time range, whole dates pruned."""
     low, high = df.agg(F.min(datetime), F.max(datetime)).first()
     kind = df.schema[datetime].dataType
     in_reach = F.col(datetime).isNull()
@@ -64,15 +61,29 @@ def not_in_table(df: DataFrame, target: DataFrame, datetime: str, keys: list[str
         if "date" in target.columns:
             days = F.col("date").between(F.lit(low).cast("date"), F.lit(high).cast("date"))
             target = target.filter(F.col("date").isNull() | days)
-    known = target.filter(in_reach).select(*[F.col(key).alias(f"_known_{key}") for key in keys])
+    return target.filter(in_reach)
+
+
+def not_in_table(df: DataFrame, target: DataFrame, datetime: str, keys: list[str]) -> DataFrame:
+    """Rows whose key the target does not have yet, however late they are."""
+    known = _in_reach(df, target, datetime).select(*[F.col(key).alias(f"_known_{key}") for key in keys])
     condition = [df[key].eqNullSafe(known[f"_known_{key}"]) for key in keys]
     return df.join(known, condition, "left_anti")
 
 
+def rows_not_in_table(df: DataFrame, target: DataFrame, datetime: str) -> DataFrame:
+    """Rows that the target does not have yet as often as `df` has them, however late they are.
+
+    For tables without a key: appending the result makes the target hold every row as often as a
+    full rebuild would.
+    """
+    return df.exceptAll(_in_reach(df, target, datetime).select(*df.columns))
+
+
 def incremental_append(
     df: DataFrame, path: str, datetime: str = "datetime", keys: list[str] | None = None, mode: str = "per_key"
 ) -> DataFrame:
-    """Append the rows that are new, by key (`per_key`) or by time alone (`global`)."""
+    """Append the rows that are new: by key (`per_key`), as whole rows (`per_row`) or by time alone (`global`)."""
     if mode not in MODES or (mode == "per_key" and not keys):
         raise ValueError(f"mode must be one of {MODES}, and per_key needs keys")
     target = existing_table(df.sparkSession, path)
@@ -80,6 +91,8 @@ def incremental_append(
         new = df
     elif mode == "global":
         new = newer_than_table(df, target, datetime)
+    elif mode == "per_row":
+        new = rows_not_in_table(df, target, datetime)
     else:
         new = not_in_table(df, target, datetime, keys)
     append_table(by_date(new, datetime), path, ["date"])
