@@ -35,3 +35,20 @@ def numeric(text: Column) -> Column:
 def none_text_to_null(text: Column) -> Column:
     """NULL where the text is the word "none" in any case."""
     return F.when(F.lower(text) != "none", text)
+
+
+def round_exact(value: Column, places: int) -> Column:
+    """Round the exact binary value of a DOUBLE, ties to even.
+
+    `F.round` rounds the shortest decimal text of a double instead, so that 8.0925, in binary a
+    little less than that, would become 8.093. The scaled value and the error of scaling it are
+    exact here, and the error decides what looks like a tie.
+    """
+    scale = 10.0**places
+    scaled = value * scale
+    high = value * 134217729.0 - (value * 134217729.0 - value)
+    error = (high * scale - scaled) + (value - high) * scale
+    below = F.floor(scaled)
+    tie = F.when(error > 0, below + 1).when(error < 0, below).otherwise(F.rint(scaled))
+    nearest = F.when(scaled - below == 0.5, tie).otherwise(F.rint(scaled))
+    return nearest.cast("double") / scale

@@ -20,7 +20,7 @@ from atmolake.fixed_values import (
     UNIDENTIFIED,
     UNIDENTIFIED_STATION_ID,
 )
-from atmolake.functions.casts import safe_double
+from atmolake.functions.casts import round_exact, safe_double
 from atmolake.functions.text import first_segment
 from atmolake.functions.times import epoch_to_local, parse_iso_datetime
 from atmolake.schemas import BRONZE_PWS, BRONZE_WEATHER
@@ -137,7 +137,7 @@ def pws_pressure(high: Column, low: Column, places: int | None = None) -> Column
     """Mean of both, else the one that is there. Zero counts as missing."""
     high, low = F.nullif(high, F.lit(0.0)), F.nullif(low, F.lit(0.0))
     mean = (high + low) / 2
-    return F.coalesce(mean if places is None else F.round(mean, places), high, low)
+    return F.coalesce(mean if places is None else round_exact(mean, places), high, low)
 
 
 def flatten_weather(

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from atmolake.registry import core, landing, staging
+from atmolake.registry import core, landing, relations, scalars, staging, storage  # noqa: F401
 from atmolake.registry.base import ORACLES, QUERIES, with_ctes
 
 
