@@ -123,5 +123,8 @@ COMPACT_DATE_FORMAT = "yyyyMMdd"
 # Last epoch second of year 9999: a larger number must be milliseconds.
 LAST_EPOCH_SECOND = 253402300799
 
+# --- Fixed values: how a missing value was written as text ---------------------------------------
+MISSING_TEXTS = ["None", "none", "nan", "NaN", ""]
+
 # --- Fixed values: incremental models and dev runs ----------------------------------------------
 TEST_RUN_ROWS = 1000
