@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atmolake.plans.models import Bronze, Seeds
-from atmolake.registry.base import CTES, read
+from atmolake.registry.base import CTES, read, spread
 from atmolake.schemas import BRONZE_PWS, BRONZE_WEATHER
 
 DENIED = ["ISELAN1", "ISELANGO11", "ISELANGO6", "IPETAL1", "IPEKAN1"]
@@ -65,7 +65,7 @@ def hourly_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
         "visibility": text(n),
         "day_indicator": F.when(line < 4, "D").otherwise("N"),
     }
-    return _bronze(read(spark, sf_dir, "lineitem"), list(BRONZE_WEATHER), given)
+    return _bronze(spread(read(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber"), list(BRONZE_WEATHER), given)
 
 
 CTES["hourly_weather"] = """
@@ -131,7 +131,7 @@ def hourly_pws_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
         "wind_chill": text(half - 6),
         "uv": F.when(_priority() == 5, "nan").otherwise(text(whole(price / 20000) / 2 - 1)),
     }
-    return _bronze(read(spark, sf_dir, "orders"), list(BRONZE_PWS), given)
+    return _bronze(spread(read(spark, sf_dir, "orders"), "o_orderkey"), list(BRONZE_PWS), given)
 
 
 CTES["hourly_pws_weather"] = """
@@ -166,7 +166,7 @@ def hourly_air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "datetime": text(F.col("o_orderdate") + F.make_dt_interval(hours=_priority())),
         "value": F.when(price < 20000, "N/A").otherwise(F.concat(text(whole(price / 1500)), symbol)),
     }
-    return _bronze(read(spark, sf_dir, "orders"), ["location", "datetime", "value"], given)
+    return _bronze(spread(read(spark, sf_dir, "orders"), "o_orderkey"), ["location", "datetime", "value"], given)
 
 
 CTES["hourly_air_quality"] = """
@@ -320,7 +320,7 @@ def seeds(spark: SparkSession, sf_dir: str) -> Seeds:
 
 def _event(spark: SparkSession, sf_dir: str) -> DataFrame:
     hour = F.date_trunc("hour", "ts")
-    return read(spark, sf_dir, "events").withColumns(
+    return spread(read(spark, sf_dir, "events"), "event_id").withColumns(
         {"epoch": F.unix_seconds(hour.cast("timestamp")), "kind": F.col("event_type"), "station": F.concat(F.lit("U"), "user_id")}
     )
 
