@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date, timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from atmolake.operators.lookups import broadcast_if_small
 from atmolake.operators.staging import stage_air_quality, stage_pws, stage_weather
 from atmolake.plans import core
 from atmolake.schemas import SEEDS
-from atmolake.sinks.materialize import incremental_append, materialize_table
+from atmolake.sinks.materialize import incremental_append, materialize_table, read_table
+from atmolake.sinks.writers import replace_dates
 from atmolake.sources.csv_files import scan_seed
 from atmolake.sources.tables import source
 
@@ -137,3 +140,37 @@ def run(bronze: Bronze, seeds: Seeds, warehouse: str, high_mark_only: bool = Fal
     lazy.full_weather_places = rebuild("full_weather_places", "datetime")
     lazy.uv = grow("uv", UV_KEYS)
     return {name: getattr(lazy, name) for name in MODEL_NAMES}
+
+
+def slice_days(bronze: Bronze, first: date, last: date) -> Bronze:
+    """Bronze rows of a closed range of local dates.
+
+    Tables in folders per date are pruned by folder; the others by their time text, which sorts
+    like the time and whose file statistics let the scan skip files.
+    """
+
+    def part(df: DataFrame) -> DataFrame:
+        if "date" in df.columns:
+            return df.filter(F.col("date").between(F.lit(first), F.lit(last)))
+        return df.filter((F.col("datetime") >= str(first)) & (F.col("datetime") < str(last + timedelta(days=1))))
+
+    return Bronze(part(bronze.hourly_weather), part(bronze.hourly_pws_weather), part(bronze.hourly_air_quality))
+
+
+def refresh_days(bronze: Bronze, seeds: Seeds, warehouse: str, first: date, last: date) -> dict[str, DataFrame]:
+    """Recompute the dated tables for a range of dates and replace just those dates.
+
+    No model looks beyond its hour, so a range can be computed alone. The daily run: it reads one
+    day of bronze data however long the history is, takes in late and corrected readings of that
+    day, and can be repeated. A date without any reading left keeps its old rows.
+    """
+    lazy = Models(slice_days(bronze, first, last), seeds)
+    spark = seeds.state_locations.sparkSession
+    lazy.full_locations = materialize_table(lazy.full_locations, f"{warehouse}/full_locations")
+    tables = {"full_locations": lazy.full_locations}
+    for name in ("air_quality", "weather", "personal_weather", "full_weather_places", "uv"):
+        path = f"{warehouse}/{name}"
+        replace_dates(getattr(lazy, name), path)
+        tables[name] = read_table(spark, path)
+        setattr(lazy, name, tables[name].filter(F.col("date").between(F.lit(first), F.lit(last))))
+    return tables | {"livability_score": core.livability_score(tables["full_weather_places"])}
