@@ -3,7 +3,9 @@
 A side is broadcast only if its size is known to be small: Catalyst compares file sizes with
 `spark.sql.autoBroadcastJoinThreshold`, and `broadcast_if_small` measures a side whose size
 Catalyst cannot know. Beyond that both sides are shuffled, and AQE splits the partitions of hot
-keys; all joins here keep the big side on the left, which skew splitting supports.
+keys; all joins here keep the big side on the left, which skew splitting supports. AQE can only do
+so if the other side comes straight from a shuffle: a big dimension that is itself an aggregation
+on the join key should be written as a table first.
 """
 
 from __future__ import annotations

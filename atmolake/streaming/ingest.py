@@ -36,6 +36,15 @@ def bronze_air_quality(documents: DataFrame) -> DataFrame:
     return flatten_aq(parse_aq(documents))
 
 
+def rejected_weather(documents: DataFrame, tz: str = LOCAL_TIME_ZONE) -> DataFrame:
+    """Observations of another station than the requested one, for a quarantine table."""
+    return flatten_weather(split_responses(parse_weather(documents))[0], tz)[1]
+
+
+def rejected_pws(documents: DataFrame, tz: str = LOCAL_TIME_ZONE) -> DataFrame:
+    return flatten_pws(split_pws_responses(parse_pws(documents)), tz)[1]
+
+
 def ingest(
     spark: SparkSession,
     landing: str,
