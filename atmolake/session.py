@@ -42,7 +42,7 @@ def local_session(cores: int | str = "*", memory: str = "8g", shuffle_partitions
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        # Without it every Column call looks up its call site, which triples the time to build wide plans.
+        # Without it every Column call looks up its call site, which more than doubles the time to build wide plans.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     spark = builder.getOrCreate()
