@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import zlib
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,19 +48,24 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class Memo(dict):
-    """A bounded cache of a pure function: it starts anew when it is full, which changes no result."""
+    """A bounded cache of a pure function. When half of it is new, only what was used since the last time stays."""
 
-    def __init__(self, function: Callable, limit: int = 300_000):
+    def __init__(self, function: Callable, limit: int = 400_000):
         super().__init__()
-        self.function, self.limit = function, limit
+        self.function, self.half, self.old = function, limit // 2, {}
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
+        if len(self) >= self.half:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.function(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.function(key)
+        self[key] = value
         return value
 
 
-def chunks(items: list, size: int) -> Iterable[list]:
-    for i in range(0, len(items), size):
-        yield items[i : i + size]
+#: Characters outside those for which LATIN_PARTS splits as public_tokenizers.PATTERN does.
+NOT_LATIN = re.compile("[^\x00-\x1b\x20-\u024f\u2010-\u2027\u20ac]").search
+_LETTERS, _NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
+LATIN_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^\s{_LETTERS}{_NUMBERS}]+|\s+(?!\S)|\s+").findall

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atmolake.llm import quality
+from atmolake.llm import near_dedup, packing, pii, quality, toxicity
 from atmolake.llm.common import table
 from atmolake.llm.registry import ORACLES, QUERIES, query
 from atmolake.llm.sql import QUALITY_SQL
@@ -18,3 +19,28 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     names = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept n_removed_lines n_removed_words".split()
     return judged.select("doc_id", *[F.col("quality")[name].alias(name) for name in names])
+
+
+@query()
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(packing.pieces(docs, packing.byte_bpe, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query()
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pii.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "text", "pii.*")
+
+
+@query()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    scored = toxicity.scored(docs, toxicity.train(docs, labels), into="score")
+    held_out = toxicity.crc_mod("doc_id", toxicity.HELD_OUT_FOLDS) == 0
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
