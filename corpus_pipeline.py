@@ -25,8 +25,14 @@ def _with_text(docs: DataFrame, changed: DataFrame) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; the lines that the rules remove are cut out of the kept ones."""
-    judged = quality.judge(docs, save(quality.frequent_lines(docs), "frequent-lines"), into="_quality").filter("_quality.kept")
-    return _with_text(docs, judged.withColumn("text", F.col("_quality")["text"]))
+    judged = quality.judge(docs, save(quality.frequent_lines(docs), "frequent-lines"), into="_quality")
+    text = F.col("_quality")["text"]
+    changed = {"text": text}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    row = F.struct(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    # Not a filter: Spark would push it below the steps of judge() and with it compute all of them again and again.
+    return judged.select(F.inline(F.when(F.col("_quality")["kept"], F.array(row))))
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
