@@ -9,7 +9,6 @@ corpus, mostly zero, so it is sent to all tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -62,25 +61,28 @@ def features(text: str | None, weights: np.ndarray | None = None) -> tuple[np.nd
     return buckets, 1 + np.log(times)
 
 
-def fit(rows_of: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> Model:
-    """From the features of texts and their labels. With one label alone, or none, every text scores that label, or 0."""
+def fit(texts: list[str | None], toxic: np.ndarray) -> Model:
+    """From texts and their labels. With one label alone, or none, every text scores that label, or 0.
+
+    The texts are gone through twice, so that only features that the model uses are held.
+    """
     size = 2**BITS
     toxic = np.asarray(toxic, np.float64)
     if not 0 < toxic.sum() < len(toxic):
         return Model(np.zeros(size, np.float32), 10.0 if toxic.sum() else -10.0)
     counts = [np.zeros(size), np.zeros(size)]
-    for (buckets, _), label in zip(rows_of, toxic):
-        counts[int(label)][buckets] += 1
+    for text, label in zip(texts, toxic):
+        counts[int(label)][np.unique(grams(text))] += 1
     n1, n0 = toxic.sum(), len(toxic) - toxic.sum()
     ratio = np.log((counts[1] + 1) / (n1 + 2)) - np.log((counts[0] + 1) / (n0 + 2))
     chosen = np.flatnonzero((counts[0] + counts[1] >= MIN_DOCS) & (np.abs(ratio) >= MIN_RATIO))
     place = np.full(size, -1, np.int64)
     place[chosen] = np.arange(len(chosen))
-    known = [place[buckets] >= 0 for buckets, _ in rows_of]
-    rows = np.repeat(np.arange(len(known)), [k.sum() for k in known])
-    columns = np.concatenate([place[buckets][k] for (buckets, _), k in zip(rows_of, known)])
     scale = ratio[chosen]
-    values = scale[columns] * np.concatenate([x[k] for (_, x), k in zip(rows_of, known)])
+    found = [features(text, place + 1) for text in texts]
+    rows = np.repeat(np.arange(len(found)), [len(buckets) for buckets, _ in found])
+    columns = place[np.concatenate([buckets for buckets, _ in found])]
+    values = scale[columns] * np.concatenate([x for _, x in found])
     weights, bias = np.zeros(len(chosen)), 0.0
     share = np.where(toxic > 0, 0.5 / n1, 0.5 / n0)
     m, v = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
@@ -108,18 +110,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     labels = labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic"))
     chosen = [labels.filter(F.col("toxic") == k).orderBy(F.xxhash64("id"), "id").limit(per_class) for k in (0, 1)]
 
-    def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [features(text) for text in batch["text"]]
-            yield pd.DataFrame(
-                {"id": batch["id"], "toxic": batch["toxic"], "buckets": [b.tobytes() for b, _ in found], "given": [x.astype("f4").tobytes() for _, x in found]}
-            )
-
-    # The sample is bounded by per_class, so its ids are broadcast and its features collected.
+    # The sample is bounded by per_class, so its ids are broadcast and its texts collected.
     sample = docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(chosen[0].union(chosen[1])), "id")
-    rows = sample.mapInPandas(featured, "id long, toxic int, buckets binary, given binary").collect()
-    rows.sort(key=lambda r: (r["id"], r["toxic"], bytes(r["buckets"])))
-    return fit([(np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["given"], np.float32)) for r in rows], np.array([r["toxic"] for r in rows]))
+    rows = sorted((r["id"], r["toxic"], r["text"] or "") for r in sample.collect())
+    return fit([text for *_, text in rows], np.array([toxic for _, toxic, _ in rows]))
 
 
 def scored(docs: DataFrame, model: Model, into: str = "toxicity") -> DataFrame:
