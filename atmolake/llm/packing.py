@@ -175,7 +175,7 @@ def byte_bpe(path: str) -> Callable[[str], bytes]:
     def direct(text: str) -> bytes:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    known = Memo(direct)
+    known = Memo(direct, 700_000)
 
     def encode(text: str) -> bytes:
         return direct(text) if NOT_LATIN(text) else b"".join(map(known.__getitem__, LATIN_PARTS(text)))
