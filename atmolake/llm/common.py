@@ -48,13 +48,16 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class Memo(dict):
-    """A bounded cache of a pure function. When half of it is new, only what was used since the last time stays."""
+    """A bounded cache of a pure function of texts. When half of it is new, only what was used since the last time
+    stays; long texts are not kept, so the bound is one of memory."""
 
     def __init__(self, function: Callable, limit: int = 400_000):
         super().__init__()
         self.function, self.half, self.old = function, limit // 2, {}
 
     def __missing__(self, key):
+        if len(key) > 64:
+            return self.function(key)
         if len(self) >= self.half:
             self.old = dict(self)
             self.clear()

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atmolake.llm import near_dedup, packing, pii, quality, toxicity
+from atmolake.llm import bpe, near_dedup, packing, pii, quality, toxicity
 from atmolake.llm.common import table
 from atmolake.llm.registry import ORACLES, QUERIES, query
 from atmolake.llm.sql import QUALITY_SQL
@@ -38,6 +38,11 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "text", "pii.*")
 
 
+@query()
+def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.coded(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), with_ids=False)
+
+
 @query()
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
