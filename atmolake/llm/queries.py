@@ -6,14 +6,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atmolake.llm import bpe, near_dedup, packing, pii, quality, toxicity
+from atmolake.llm import ann, bpe, near_dedup, packing, pii, quality, sharding, toxicity
 from atmolake.llm.common import table
 from atmolake.llm.registry import ORACLES, QUERIES, query
-from atmolake.llm.sql import QUALITY_SQL
+from atmolake.llm.sql import QUALITY_SQL, SHARDING_SQL
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+@query()
+def op1_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
+@query(SHARDING_SQL)
+def op2_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assigned(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 @query(QUALITY_SQL)
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))

@@ -39,3 +39,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND NOT 100 * n_removed_words > 50 * n_words AS kept, n_removed_lines, n_removed_words
 FROM failed
 """
+
+SHARDING_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, strlen(coalesce(text, ''))::BIGINT AS doc_bytes,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || chr(10) || coalesce(text, '')), 1, 15))::BIGINT AS h FROM documents),
+prefixes AS (
+  SELECT depth, h >> (60 - depth) AS p, sum(doc_bytes)::BIGINT AS shard_bytes, count(*) AS shard_docs, count(DISTINCT h) AS hashes
+  FROM docs, generate_series(0, 60) AS t(depth) GROUP BY ALL),
+fits AS (SELECT * FROM prefixes WHERE shard_bytes <= 1048576 OR hashes = 1),
+shards AS (SELECT * FROM fits f WHERE NOT EXISTS (SELECT 1 FROM fits u WHERE u.depth = f.depth - 1 AND u.p = f.p >> 1))
+SELECT doc_id, right(lpad(bin(p), 64, '0'), depth::INTEGER) AS shard, depth::INTEGER AS shard_depth, shard_bytes, shard_docs, doc_bytes
+FROM docs JOIN shards ON h >> (60 - depth) = p
+"""
