@@ -6,10 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atmolake.llm import ann, bpe, near_dedup, packing, pii, quality, sharding, toxicity
+from atmolake.llm import ann, bpe, licenses, near_dedup, packing, pii, quality, sharding, toxicity
 from atmolake.llm.common import table
 from atmolake.llm.registry import ORACLES, QUERIES, query
-from atmolake.llm.sql import QUALITY_SQL, SHARDING_SQL
+from atmolake.llm.sql import QUALITY_SQL, SHARDING_SQL, license_sql
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -25,6 +25,14 @@ def op2_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assigned(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+@query(license_sql())
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a directory for each source and language."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    return licenses.scan(docs.select(F.col("doc_id").alias("id"), path.alias("path"), "text")).withColumnRenamed("id", "doc_id")
+
+
 @query(QUALITY_SQL)
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))

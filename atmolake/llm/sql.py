@@ -52,3 +52,44 @@ shards AS (SELECT * FROM fits f WHERE NOT EXISTS (SELECT 1 FROM fits u WHERE u.d
 SELECT doc_id, right(lpad(bin(p), 64, '0'), depth::INTEGER) AS shard, depth::INTEGER AS shard_depth, shard_bytes, shard_docs, doc_bytes
 FROM docs JOIN shards ON h >> (60 - depth) = p
 """
+
+
+def license_sql() -> str:
+    from atmolake.llm.licenses import FILE_PERCENT, TEMPLATES, THRESHOLD
+
+    templates = ", ".join(f"('{name}', '{text}')" for name, text in TEMPLATES)
+    return rf"""
+WITH templates(template, notice) AS (VALUES {templates}),
+entries AS (SELECT template, w, count(*) AS n FROM (SELECT template, unnest(regexp_extract_all(lower(notice), '[a-z0-9]+')) AS w FROM templates) GROUP BY ALL),
+files AS (
+  SELECT doc_id AS id, coalesce(text, '') AS text, coalesce(source, '') || '/' || coalesce(lang, '') AS folder FROM documents),
+lines AS (
+  SELECT * FROM (
+    SELECT id, i - 1 AS line, regexp_extract_all(lower(ls[i]), '[a-z0-9]+') AS ws
+    FROM (SELECT id, ls, unnest(generate_series(1, len(ls))) AS i FROM (SELECT id, string_split(text, chr(10)) AS ls FROM files)))
+  WHERE len(ws) > 0),
+n_lines AS (SELECT count(*) AS n FROM lines),
+tf AS (SELECT id, line, w, count(*) AS times FROM (SELECT id, line, unnest(ws) AS w FROM lines) GROUP BY ALL),
+weights AS (
+  SELECT v.w, ln((1 + any_value(n))::DOUBLE / (1 + count(tf.w))) + 1 AS weight
+  FROM (SELECT DISTINCT w FROM entries) v LEFT JOIN tf ON tf.w = v.w, n_lines GROUP BY v.w),
+vectors AS (SELECT template, w, n * weight / sqrt(sum(n * weight * n * weight) OVER (PARTITION BY template)) AS y FROM entries JOIN weights USING (w)),
+x AS (SELECT id, line, w, times * coalesce(weight, ln(1 + n) + 1) AS x FROM tf LEFT JOIN weights USING (w), n_lines),
+norms AS (SELECT id, line, sqrt(sum(x * x)) AS norm FROM x GROUP BY ALL),
+dots AS (SELECT id, line, template, sum(x * y) AS dot FROM x JOIN vectors USING (w) GROUP BY ALL),
+scores AS (SELECT id, line, template, round(dot / norm, 6) AS score FROM dots JOIN norms USING (id, line)),
+notices AS (
+  SELECT s.id, s.line, template, score, len(ws) AS n_words FROM scores s JOIN lines l ON l.id = s.id AND l.line = s.line WHERE score >= {THRESHOLD}
+  QUALIFY row_number() OVER (PARTITION BY s.id, s.line ORDER BY score DESC, template) = 1),
+own AS (
+  SELECT id, template, score, line, sum(n_words) OVER (PARTITION BY id) AS notice_words FROM notices
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, line, template) = 1),
+given AS (
+  SELECT folder, template FROM own JOIN files USING (id)
+  WHERE 100 * notice_words >= {FILE_PERCENT} * len(regexp_extract_all(lower(text), '[a-z0-9]+'))
+  GROUP BY folder, template QUALIFY row_number() OVER (PARTITION BY folder ORDER BY count(*) DESC, template) = 1)
+SELECT id AS doc_id, f.folder || '/' || id AS path, own.template AS own_license, score, line::INTEGER AS notice_line,
+  coalesce(own.template, given.template) AS license,
+  CASE WHEN own.template IS NULL AND given.template IS NOT NULL THEN f.folder END AS inherited_from
+FROM files f LEFT JOIN own USING (id) LEFT JOIN given ON given.folder = f.folder
+"""
