@@ -7,9 +7,9 @@ computes HALF * 2 * WIDTH**2. Two texts of similarity s meet with probability (1
 only from values that two texts share; most texts have none and go no further.
 
 Texts of one shingle set are one node, so copies never meet each other in a bucket. Every candidate is confirmed on
-full sets. In a bucket all members are first compared with its smallest and its largest, then members that are still
-in different components with each other; a group of G like texts costs about G comparisons, and no link between
-components is left out.
+full sets. In a bucket all members are first compared with its smallest and its largest, which joins most of a group
+of G like texts in about G comparisons. Then members that are still in different components are compared with each
+other, so no link between components is left out.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atmolake.llm.common import Memo, save, words_of
@@ -59,18 +59,38 @@ def _coefficients() -> tuple[np.ndarray, np.ndarray]:
     return draw[0] * np.uint64(2) + np.uint64(1), draw[1]
 
 
-def collections(shingles: np.ndarray) -> np.ndarray:
-    """The WIDTH values of the left collection, then those of the right one, as signed longs."""
+def collections(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The WIDTH values of the left collection, then those of the right one, and 4 bits of every minhash, 16 in a long."""
     factor, offset = _coefficients()
     least = np.full(len(factor), np.iinfo(np.uint64).max, np.uint64)
     for start in range(0, len(shingles), 2048):  # in blocks, so that memory is the same for any text
         part = shingles[start : start + 2048, None]
         np.minimum(least, ((part ^ offset) * factor).min(axis=0), out=least)
+    bits = (least >> np.uint64(28) & np.uint64(15)).reshape(-1, 16) << np.arange(0, 64, 4, dtype=np.uint64)
+    codes = np.bitwise_or.reduce(bits, axis=1)
     least = least.reshape(2 * WIDTH, HALF)
     values = np.arange(1, 2 * WIDTH + 1, dtype=np.uint64)  # values of different places never meet
     for j in range(HALF):
         values = _mix(values, least[:, j])
-    return values.view(np.int64)
+    return values.view(np.int64), codes.view(np.int64)
+
+
+def unlike(a: str, b: str) -> Column:
+    """How many of the minhashes differ in their 4 bits."""
+    total = F.lit(0)
+    for i in range(2 * WIDTH * HALF // 16):
+        x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        total = total + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return total
+
+
+#: A pair of the similarity sought differs in a binomial number of minhashes; beyond its mean and 4.5 deviations no
+#: pair is looked at. For 0.85 that is 28.
+def most_unlike(percent: int) -> int:
+    n, rate = 2 * WIDTH * HALF, (1 - percent / 100) * 15 / 16
+    return int(n * rate + 4.5 * (n * rate * (1 - rate)) ** 0.5)
 
 
 def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -79,8 +99,8 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for doc_id, text in zip(batch["doc_id"], batch["text"]):
             found = shingle_set(text)
             digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None
-            out.append((doc_id, len(found), digest, collections(found) if len(found) else None))
-        yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "set_hash", "cells"])
+            out.append((doc_id, len(found), digest, *(collections(found) if len(found) else (None, None))))
+        yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "set_hash", "cells", "codes"])
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -120,9 +140,13 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets have 100 * |intersection| >= percent * |union|."""
     left = sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
     right = sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
-    both = F.size(F.array_intersect("s_a", "s_b"))
-    joined = pairs.join(left, "a").join(right, "b").filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    return joined.withColumn("common", both).filter(100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").filter(similar(percent)).select("a", "b")
+
+
+def similar(percent: int) -> Column:
+    """100 * |intersection| >= percent * |union| of the sets s_a and s_b of n_a and n_b shingles; sizes are looked at first."""
+    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    return sizes & ((100 + percent) * F.size(F.array_intersect("s_a", "s_b")) >= percent * (F.col("n_a") + F.col("n_b")))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -132,13 +156,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     component and is kept. A repeated doc_id is one node; each of its rows gets the component of its own text.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketches = save(docs.mapInPandas(_sketch, "doc_id long, n_shingles long, set_hash binary, cells array<long>"), "sketches")
+    sketches = save(docs.mapInPandas(_sketch, "doc_id long, n_shingles long, set_hash binary, cells array<long>, codes array<long>"), "sketches")
 
     # One node for each distinct set. The cells follow from the set, so any row's will do.
     nodes = save(
         sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("set_hash")
-        .agg(F.min("doc_id").alias("node"), F.any_value("n_shingles").alias("n"), F.any_value("cells").alias("cells")),
+        .agg(F.min("doc_id").alias("node"), F.any_value("n_shingles").alias("n"), F.any_value("cells").alias("cells"), F.any_value("codes").alias("codes")),
         "nodes",
     )
 
@@ -166,15 +190,24 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     links = save(confirmed(tried, sets, percent), "confirmed")
     labels = save(components(links), "labels")
 
-    # Members of a bucket that are still apart.
-    named = members.join(labels, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
+    # Members of a bucket that are still apart. A pair meets once for each left value that it shares, and is taken at
+    # the smallest of them if it also shares a right value, and if its minhashes agree as those of similar sets do.
+    named = members.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     apart = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
-    rest = save(named.join(apart, "key"), "apart")
+    rest = named.join(apart, "key").select("node", "component").distinct().join(nodes, "node")
+    left, right = F.slice("cells", 1, WIDTH), F.slice("cells", WIDTH + 1, WIDTH)
+    rest = save(rest.select("node", "n", "component", "codes", left.alias("left"), right.alias("right")), "apart")
     if not rest.isEmpty():
-        a, b = (rest.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "component")]) for side in "ab")
-        close = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-        pairs = a.join(b, "key").filter("node_a < node_b AND component_a <> component_b").filter(close)
-        pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+        a, b = (rest.select(*[F.col(c).alias(f"{c}_{side}") for c in rest.columns], F.explode("left").alias("value")) for side in "ab")
+        pairs = (
+            a.join(b, "value")
+            .filter("node_a < node_b AND component_a <> component_b")
+            .filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+            .filter(unlike("codes_a", "codes_b") <= most_unlike(percent))
+            .filter(F.arrays_overlap("right_a", "right_b"))
+            .filter(F.col("value") == F.array_min(F.array_intersect("left_a", "left_b")))
+        )
+        pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).join(tried, ["a", "b"], "left_anti")
         more = save(confirmed(pairs, sets, percent), "confirmed")
         if not more.isEmpty():
             labels = save(components(links.union(more)), "labels")
