@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atmolake.llm import ann, bpe, licenses, near_dedup, packing, pii, quality, sharding, toxicity
+from atmolake.llm import ann, bpe, licenses, lm, near_dedup, packing, pii, quality, sharding, toxicity
 from atmolake.llm.common import table
 from atmolake.llm.registry import ORACLES, QUERIES, query
 from atmolake.llm.sql import QUALITY_SQL, SHARDING_SQL, license_sql
@@ -25,6 +25,11 @@ def op2_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assigned(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+@query()
+def op3_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 @query(license_sql())
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files of a directory for each source and language."""
