@@ -201,7 +201,7 @@ _NUMBERS: list[tuple[str, re.Pattern, Callable[[str, bytes], str | None]]] = [
     ("ipv4", re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"), _ipv4),
     ("date", re.compile(r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}([./])[0-9]{2}\1[0-9]{4})(?![0-9])"), _date),
     ("ssn", re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"), _ssn),
-    ("card", re.compile(r"[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"), _card),
+    ("card", re.compile(r"(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})(?![0-9])"), _card),
     ("phone", re.compile(r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{2,4}[ .-][0-9]{3,4}(?![0-9])|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9])|(?:1[ .-])?[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4}(?![0-9])"), _phone),
 ]
 _START = re.compile(r"(?<![A-Za-z0-9_.+@/-])[+(]?[0-9]")
