@@ -51,17 +51,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.schema(TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hand the rows of a single file to all cores.
-
-    The driver's tables are one row group each, which one task reads and all narrow work then
-    follows in that task. A table of several files, as on a cluster, stays as it is.
-    """
-    if len(df.inputFiles()) > 1:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
-
-
 def with_ctes(sql: str) -> str:
     """Put in front the named subqueries that the SQL uses, each after those it uses itself."""
     ordered: list[str] = []
