@@ -104,13 +104,11 @@ ACCEPTED_LABELS = ["Good", "Moderate", "Unhealthy", "Unhealthy for sensitive gro
 
 # --- Fixed values: legacy 24-hour matrix --------------------------------------------------------
 MATRIX_KEYS = ["24hour_api_apims", "24hour_api"]
-MATRIX_HEADER = (
-    ["State", "Location"]
-    + [f"{hour}:00AM" for hour in range(1, 12)]
-    + ["12:00PM"]
-    + [f"{hour}:00PM" for hour in range(1, 12)]
-    + ["12:00AM"]
-)
+MATRIX_HEADER = [
+    "State", "Location",
+    "1:00AM", "2:00AM", "3:00AM", "4:00AM", "5:00AM", "6:00AM", "7:00AM", "8:00AM", "9:00AM", "10:00AM", "11:00AM",
+    "12:00PM", "1:00PM", "2:00PM", "3:00PM", "4:00PM", "5:00PM", "6:00PM", "7:00PM", "8:00PM", "9:00PM", "10:00PM", "11:00PM", "12:00AM",
+]
 MATRIX_RETRY_TIMES = ["2300", "0000", "0100"]
 
 # --- Fixed values: address parts, best first ----------------------------------------------------

@@ -40,7 +40,8 @@ def lookup_left(fact: DataFrame, dim: DataFrame, on: dict[str, str], take: list[
 
 
 def _renamed_keys(known: DataFrame, on: dict[str, str]) -> DataFrame:
-    return known.select(*[F.col(right).alias(left) for left, right in on.items()])
+    """Each known key once: copies are combined before the shuffle, so a hot key is one row on this side."""
+    return known.select(*[F.col(right).alias(left) for left, right in on.items()]).distinct()
 
 
 def missing_from(df: DataFrame, known: DataFrame, on: dict[str, str]) -> DataFrame:

@@ -62,9 +62,8 @@ def report_not_null(table: str, df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def report_unique(table: str, df: DataFrame, column: str) -> DataFrame:
-    """Failures are the rows beyond the first of each value."""
-    extra = unique(df, column).agg(F.coalesce(F.sum(F.col("occurrences") - 1), F.lit(0)).alias("failures"))
-    return _line(extra, table, "unique", column)
+    """Failures are the values that occur more than once."""
+    return _line(unique(df, column).agg(F.count(F.lit(1)).alias("failures")), table, "unique", column)
 
 
 def report_unique_combination(table: str, df: DataFrame, columns: list[str]) -> DataFrame:
@@ -79,8 +78,9 @@ def report_relationships(table: str, child: DataFrame, column: str, parent: Data
 
 
 def report_accepted_values(table: str, df: DataFrame, column: str, accepted: list) -> DataFrame:
-    wrong = accepted_values(df, column, accepted)
-    return _line(wrong.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("failures")), table, "accepted_values", column)
+    """Failures are the values outside the list."""
+    wrong = accepted_values(df, column, accepted).agg(F.count(F.lit(1)).alias("failures"))
+    return _line(wrong, table, "accepted_values", column)
 
 
 def dq_report(lines: list[DataFrame]) -> DataFrame:

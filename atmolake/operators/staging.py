@@ -51,10 +51,15 @@ def split_reading(df: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def stage_air_quality(bronze: DataFrame) -> DataFrame:
-    """Distinct readings with a number, as `(datetime, location, pollutant_value, pollutant_symbol)`."""
+def stage_air_quality(bronze: DataFrame, rows: int | None = None) -> DataFrame:
+    """Distinct readings with a number, as `(datetime, location, pollutant_value, pollutant_symbol)`.
+
+    A test run takes so many `rows` of the distinct readings.
+    """
     # Rows without digits go before the shuffle of the DISTINCT; copies are combined map-side.
     readings = bronze.select("datetime", "location", "value").filter(F.col("value").rlike("[0-9]")).distinct()
+    if rows is not None:
+        readings = readings.limit(rows)
     return split_reading(readings).select(
         to_datetime(F.col("datetime")).alias("datetime"),
         "location",

@@ -177,9 +177,12 @@ def full_join_sources(weather: DataFrame, air_quality: DataFrame, personal_weath
     )
     a = averaged(air_quality, {"pollutant_value": "pollutant_value"}, "a")
     p = averaged(personal_weather, {f"pws_{name}": name for name in BLENDED} | {name: name for name in PWS_ONLY}, "p")
-    joined = w.join(
-        a, (F.col("w_datetime") == F.col("a_datetime")) & (F.col("w_place") == F.col("a_place")), "full"
-    ).join(p, (F.col("p_datetime") == F.col("a_datetime")) & (F.col("p_place") == F.col("a_place")), "full")
+    same_wa = (F.col("w_datetime") == F.col("a_datetime")) & (F.col("w_place") == F.col("a_place"))
+    same_pa = (F.col("p_datetime") == F.col("a_datetime")) & (F.col("p_place") == F.col("a_place"))
+    # Weather without air quality has no key for the second join. It goes past it, else all of it would wait
+    # in the task of the NULL key.
+    linked = a.join(w, same_wa, "left").join(p, same_pa, "full")
+    joined = linked.unionByName(w.join(a, same_wa, "left_anti"), allowMissingColumns=True)
     keys = [F.coalesce(f"w_{key}", f"a_{key}", f"p_{key}").alias(key) for key in PLACE_HOUR]
     measures = [name for name in (*w.columns, *a.columns, *p.columns) if name[:2] not in ("w_", "a_", "p_")]
     return joined.select(*keys, *measures).groupBy(*PLACE_HOUR).agg(*[F.avg(name).alias(name) for name in measures])

@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from atmolake.fixed_values import TEST_RUN_ROWS
 from atmolake.operators.lookups import broadcast_if_small
 from atmolake.operators.staging import stage_air_quality, stage_pws, stage_weather
 from atmolake.plans import core
@@ -16,12 +17,7 @@ from atmolake.schemas import SEEDS
 from atmolake.sinks.materialize import incremental_append, materialize_table, read_table
 from atmolake.sinks.writers import replace_dates
 from atmolake.sources.csv_files import scan_seed
-from atmolake.sources.tables import source
-
-# The readings have no key that is sure to be unique (a place may have two stations, a station may
-# have no place), so what is new is told row by row; `uv` has one row per place and hour.
-UV_KEYS = ["place", "city", "state", "datetime"]
-
+from atmolake.sources.tables import scan_table, source
 
 MODEL_NAMES = [
     "stg_hourly_air_quality", "stg_hourly_weather", "stg_hourly_pws_weather", "full_locations", "air_quality",
@@ -48,11 +44,15 @@ class Bronze:
     hourly_weather: DataFrame
     hourly_pws_weather: DataFrame
     hourly_air_quality: DataFrame
+    # Rows of a test run that are still to be taken of the distinct air-quality readings.
+    air_quality_rows: int | None = None
 
     @classmethod
     def read(cls, spark: SparkSession, root: str | None = None, test_run: bool = False) -> Bronze:
-        tables = ("hourly_weather", "hourly_pws_weather", "hourly_air_quality")
-        return cls(**{table: source(spark, table, root, test_run) for table in tables})
+        """All of prod, or a test run: some rows of dev, of air quality so many distinct readings."""
+        weather, personal = (source(spark, table, root, test_run) for table in ("hourly_weather", "hourly_pws_weather"))
+        air_quality = scan_table(spark, "dev" if test_run else "prod", "hourly_air_quality", root)
+        return cls(weather, personal, air_quality, TEST_RUN_ROWS if test_run else None)
 
 
 class Models:
@@ -64,7 +64,7 @@ class Models:
 
     @cached_property
     def stg_hourly_air_quality(self) -> DataFrame:
-        return stage_air_quality(self.bronze.hourly_air_quality)
+        return stage_air_quality(self.bronze.hourly_air_quality, self.bronze.air_quality_rows)
 
     @cached_property
     def stg_hourly_weather(self) -> DataFrame:
@@ -116,8 +116,9 @@ class Models:
 def run(bronze: Bronze, seeds: Seeds, warehouse: str, high_mark_only: bool = False) -> dict[str, DataFrame]:
     """Bring all models up to date below `warehouse` and return them.
 
-    Locations and combined places are rebuilt, the enriched readings and `uv` grow by what is new,
-    staging and `livability_score` stay views. Each table is read back from its files, so no
+    Locations, combined places and `uv` are rebuilt, as a late reading changes the means of an hour
+    that they have already; the enriched readings grow by what is new, staging and
+    `livability_score` stay views. Each table is read back from its files, so no
     model recomputes the ones before it, and lost executors cost only the work in flight.
 
     A second run over the same bronze data adds nothing. `high_mark_only` takes only rows later
@@ -128,9 +129,11 @@ def run(bronze: Bronze, seeds: Seeds, warehouse: str, high_mark_only: bool = Fal
     def rebuild(name: str, datetime: str | None = None) -> DataFrame:
         return materialize_table(getattr(lazy, name), f"{warehouse}/{name}", datetime)
 
-    def grow(name: str, keys: list[str] | None = None) -> DataFrame:
-        mode = "global" if high_mark_only else "per_key" if keys else "per_row"
-        return incremental_append(getattr(lazy, name), f"{warehouse}/{name}", "datetime", keys, mode)
+    # The readings have no key that is sure to be unique (a place may have two stations, a station may have no
+    # place), so what is new is told row by row.
+    def grow(name: str) -> DataFrame:
+        mode = "global" if high_mark_only else "per_row"
+        return incremental_append(getattr(lazy, name), f"{warehouse}/{name}", "datetime", mode=mode)
 
     # Each table read back takes the place of its plan, before the models after it are built.
     lazy.full_locations = rebuild("full_locations")
@@ -138,7 +141,7 @@ def run(bronze: Bronze, seeds: Seeds, warehouse: str, high_mark_only: bool = Fal
     lazy.weather = grow("weather")
     lazy.personal_weather = grow("personal_weather")
     lazy.full_weather_places = rebuild("full_weather_places", "datetime")
-    lazy.uv = grow("uv", UV_KEYS)
+    lazy.uv = rebuild("uv", "datetime")
     return {name: getattr(lazy, name) for name in MODEL_NAMES}
 
 
@@ -154,7 +157,8 @@ def slice_days(bronze: Bronze, first: date, last: date) -> Bronze:
             return df.filter(F.col("date").between(F.lit(first), F.lit(last)))
         return df.filter((F.col("datetime") >= str(first)) & (F.col("datetime") < str(last + timedelta(days=1))))
 
-    return Bronze(part(bronze.hourly_weather), part(bronze.hourly_pws_weather), part(bronze.hourly_air_quality))
+    parts = (part(df) for df in (bronze.hourly_weather, bronze.hourly_pws_weather, bronze.hourly_air_quality))
+    return Bronze(*parts, bronze.air_quality_rows)
 
 
 def refresh_days(bronze: Bronze, seeds: Seeds, warehouse: str, first: date, last: date) -> dict[str, DataFrame]:

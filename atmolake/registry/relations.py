@@ -246,8 +246,7 @@ FROM (SELECT count(*) - count(location) AS location, count(*) - count(city) AS c
              count(*) - count(message) AS message FROM air_quality_rows)
 UNPIVOT (f FOR c IN (location, city, pollutant, message))
 UNION ALL
-SELECT 'full_locations', 'unique', 'place', CAST(sum(n - 1) AS BIGINT)
-FROM (SELECT count(*) AS n FROM locations GROUP BY place HAVING count(*) > 1)
+SELECT 'full_locations', 'unique', 'place', count(*) FROM (SELECT 1 FROM locations GROUP BY place HAVING count(*) > 1)
 UNION ALL
 SELECT 'air_quality', 'unique_combination', 'location+datetime', count(*)
 FROM (SELECT 1 FROM air_quality_rows GROUP BY location, datetime HAVING count(*) > 1)
@@ -255,12 +254,14 @@ UNION ALL
 SELECT 'stg_hourly_pws_weather', 'relationships', 'weather_station', count(*) FROM stg_pws_rows
 WHERE weather_station NOT IN (SELECT PWStation FROM locations WHERE PWStation IS NOT NULL)
 UNION ALL
-SELECT 'air_quality', 'accepted_values', 'pollutant', CAST(0 AS BIGINT)
+SELECT 'air_quality', 'accepted_values', 'pollutant', count(DISTINCT pollutant) FROM air_quality_rows
+WHERE pollutant IN ('Unidentified', 'PM2.5')
 UNION ALL
-SELECT 'air_quality', 'accepted_values', 'label', count(*) FROM air_quality_rows WHERE label IN ('Unhealthy', 'Good')""")
+SELECT 'air_quality', 'accepted_values', 'label', count(DISTINCT label) FROM air_quality_rows WHERE label IN ('Unhealthy', 'Good')""")
 def dq_report(spark, sf_dir):
     m = built(spark, sf_dir)
     labels = [label for label in ACCEPTED_LABELS if label not in ("Unhealthy", "Good")]
+    pollutants = [pollutant for pollutant in ACCEPTED_POLLUTANTS if pollutant not in ("Unidentified", "PM2.5")]
     return quality.dq_report(
         [
             quality.report_not_null("air_quality", m.air_quality, ["location", "city", "pollutant", "message"]),
@@ -269,7 +270,7 @@ def dq_report(spark, sf_dir):
             quality.report_relationships(
                 "stg_hourly_pws_weather", m.stg_hourly_pws_weather, "weather_station", m.full_locations, "PWStation"
             ),
-            quality.report_accepted_values("air_quality", m.air_quality, "pollutant", ACCEPTED_POLLUTANTS),
+            quality.report_accepted_values("air_quality", m.air_quality, "pollutant", pollutants),
             quality.report_accepted_values("air_quality", m.air_quality, "label", labels),
         ]
     )

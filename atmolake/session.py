@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -52,7 +55,10 @@ def local_session(cores: int | str = "*", memory: str = "8g", shuffle_partitions
 
 @functools.cache
 def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="atmolake-")
+    """A folder of this process, gone when it ends."""
+    folder = tempfile.mkdtemp(prefix="atmolake-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -62,7 +68,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = _local_base()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

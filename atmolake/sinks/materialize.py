@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from atmolake.sinks.writers import append_table, by_date, replace_table
 
@@ -21,13 +22,15 @@ def materialize_table(df: DataFrame, path: str, datetime: str | None = None) ->
     """Rebuild a table in full; with `datetime`, one folder per date."""
     if datetime is None:
         replace_table(df, path)
-    else:
-        replace_table(by_date(df, datetime), path, ["date"])
-    return read_table(df.sparkSession, path)
+        return read_table(df.sparkSession, path, df.schema)
+    dated = by_date(df, datetime)
+    replace_table(dated, path, ["date"])
+    return read_table(df.sparkSession, path, dated.schema)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The table at `path`; with its schema also if it has no rows and so no files yet."""
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def existing_table(spark: SparkSession, path: str) -> DataFrame | None:
@@ -95,5 +98,6 @@ def incremental_append(
         new = rows_not_in_table(df, target, datetime)
     else:
         new = not_in_table(df, target, datetime, keys)
-    append_table(by_date(new, datetime), path, ["date"])
-    return read_table(df.sparkSession, path)
+    dated = by_date(new, datetime)
+    append_table(dated, path, ["date"])
+    return read_table(df.sparkSession, path, dated.schema)

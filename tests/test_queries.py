@@ -8,10 +8,11 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__
+from atmolake import registry
 from tests.compare import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = __spark_entry__.queries(), __spark_entry__.oracle_sql()
+QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="needs the driver's tables")
 

@@ -1,0 +1,54 @@
+"""Cases that earlier tests left open: late UV values, distinct test runs, hot keys on the right, empty sources."""
+
+from __future__ import annotations
+
+import re
+
+from atmolake.operators import lookups
+from atmolake.operators.staging import stage_air_quality
+from atmolake.plans import core
+from atmolake.sinks.materialize import incremental_append, materialize_table
+from tests.conftest import rows
+
+
+def test_a_test_run_takes_distinct_readings(spark):
+    readings = spark.range(3000).selectExpr("'2024-01-01T00:00:00' AS datetime", "concat('L', id % 1000) AS location", "'5' AS value")
+    assert stage_air_quality(readings, 1000).count() == 1000
+    assert stage_air_quality(readings, 10).count() == 10
+
+
+def test_known_keys_are_combined_before_the_shuffle(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left, hot = spark.range(50).selectExpr("id AS k"), spark.range(10_000).selectExpr("CAST(id % 3 AS bigint) AS known")
+        for join, expected in ((lookups.missing_from, 47), (lookups.known_in, 3)):
+            df = join(left, hot, {"k": "known"})
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert re.search(r"Exchange hashpartitioning\(k#\d+L.*\n.*HashAggregate", plan), plan
+            assert df.count() == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_weather_without_air_quality_is_no_null_key(spark):
+    """The joined form equals the stacked one, and no join has a key that most rows lack."""
+    weather = spark.range(400).selectExpr(
+        "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, CAST(id AS int)) AS datetime", "'P' AS place", "'C' AS city", "'S' AS state",
+        *[f"CAST(id AS double) AS {c}" for c in {*core.BLENDED.values(), *core.WEATHER_ONLY}],
+    )
+    air = weather.limit(5).selectExpr("datetime", "place", "city", "state", "CAST(1 AS double) AS pollutant_value")
+    personal = weather.limit(7).selectExpr("datetime", "place", "city", "state", *[f"CAST(2 AS double) AS {c}" for c in {*core.BLENDED, *core.PWS_ONLY}])
+    joined = core.full_join_sources(weather, air, personal)
+    stacked = core.source_averages(weather, air, personal)
+    assert rows(joined.select(*stacked.columns)) == rows(stacked)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and plan.count("FullOuter") == 1
+
+
+def test_tables_of_empty_sources_can_be_read(spark, tmp_path):
+    empty = spark.createDataFrame([], "datetime timestamp_ntz, place string")
+    assert rows(materialize_table(empty, str(tmp_path / "a"))) == []
+    assert materialize_table(empty, str(tmp_path / "b"), "datetime").columns == ["datetime", "place", "date"]
+    assert rows(incremental_append(empty, str(tmp_path / "c"), keys=["place"])) == []
+    assert rows(incremental_append(empty, str(tmp_path / "c"), keys=["place"])) == []
