@@ -10,6 +10,7 @@ from atmolake.registry import inputs
 from atmolake.registry.base import CTES, query, read
 from atmolake.session import scratch_path
 from atmolake.sources import landing
+from atmolake.streaming import ingest
 
 
 def landed(documents, spark, label: str) -> str:
@@ -101,6 +102,18 @@ def api_response_guard(spark, sf_dir):
     )
 
 
+@query("""
+SELECT DISTINCT event_id, 'broken' AS reason, CAST(NULL AS VARCHAR) AS station FROM weather_responses WHERE event_id % 11 = 0
+UNION ALL
+SELECT event_id, 'refused', station FROM weather_responses
+WHERE event_id % 11 <> 0 AND n_observations > 0 AND NOT (status_code = 200 AND language = 'en-US' AND units = 'm')""")
+def quarantined_documents(spark, sf_dir):
+    """Every eleventh document is cut off in the middle."""
+    half = F.expr("substr(value, 1, length(value) div 2)")
+    documents = inputs.weather_documents(spark, sf_dir).withColumn("value", F.when(F.col("event_id") % 11 == 0, half).otherwise(F.col("value")))
+    return ingest.quarantined_weather(documents, "event_id").select("event_id", "reason", "station")
+
+
 @query("SELECT event_id, station, station AS weather_station FROM weather_responses")
 def stamp_station(spark, sf_dir):
     responses = landing.parse_weather(inputs.weather_documents(spark, sf_dir), "event_id")

@@ -23,6 +23,15 @@ def read_documents(spark: SparkSession, path: str | list[str], whole_file: bool
     return spark.read.text(path, wholetext=whole_file)
 
 
+def broken_documents(documents: DataFrame, *keep: str) -> DataFrame:
+    """Documents that are no JSON, such as one cut off in the middle, as they came. Blank lines are none.
+
+    The parsers give no row for them; a load puts them into a quarantine table.
+    """
+    broken = (F.trim("value") != "") & F.try_parse_json("value").isNull()
+    return documents.filter(broken).select(*keep, "value")
+
+
 # --- station responses --------------------------------------------------------------------------
 
 

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from atmolake.fixed_values import LOCAL_TIME_ZONE
 from atmolake.operators.flatten import flatten_aq, flatten_pws, flatten_weather, split_pws_responses, split_responses
-from atmolake.sources.landing import parse_aq, parse_pws, parse_weather
+from atmolake.sources.landing import broken_documents, parse_aq, parse_pws, parse_weather
 
 
 def landed_documents(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
@@ -45,6 +45,20 @@ def rejected_pws(documents: DataFrame, tz: str = LOCAL_TIME_ZONE) -> DataFrame:
     return flatten_pws(split_pws_responses(parse_pws(documents)), tz)[1]
 
 
+def quarantined_weather(documents: DataFrame, *keep: str) -> DataFrame:
+    """What a load of weather cannot take, with its reason: `broken` documents as they came, and `refused` responses
+    (status, language or units) as JSON text with the station that was asked for."""
+    broken = broken_documents(documents, *keep).select(*keep, F.lit("broken").alias("reason"), F.lit(None).cast("string").alias("station"), "value")
+    refused = split_responses(parse_weather(documents, *keep))[1]
+    response = F.to_json(F.struct("metadata", "weather_station", F.size("observations").alias("n_observations")))
+    return broken.unionByName(refused.select(*keep, F.lit("refused").alias("reason"), "station", response.alias("value")))
+
+
+def quarantined_documents(documents: DataFrame) -> DataFrame:
+    """The same for personal stations and air quality, whose responses carry no status: broken documents."""
+    return broken_documents(documents).select(F.lit("broken").alias("reason"), F.lit(None).cast("string").alias("station"), "value")
+
+
 def ingest(
     spark: SparkSession,
     landing: str,
