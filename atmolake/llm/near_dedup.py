@@ -14,6 +14,7 @@ other, so no link between components is left out.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -27,6 +28,8 @@ from atmolake.llm.common import Memo, save, words_of
 
 SHINGLE = 5
 WIDTH, HALF = 12, 4
+#: Minhashes of candidates, to tell what is nearly similar enough from what is.
+FINE = 1024
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(31)
@@ -54,42 +57,57 @@ def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
     return np.unique(acc)
 
 
-def _coefficients() -> tuple[np.ndarray, np.ndarray]:
-    draw = np.random.default_rng(20).integers(0, 2**63, size=(2, 2 * WIDTH * HALF), dtype=np.uint64)
+@functools.cache
+def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
+    draw = np.random.default_rng(n).integers(0, 2**63, size=(2, n), dtype=np.uint64)
     return draw[0] * np.uint64(2) + np.uint64(1), draw[1]
 
 
-def collections(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The WIDTH values of the left collection, then those of the right one, and 4 bits of every minhash, 16 in a long."""
-    factor, offset = _coefficients()
-    least = np.full(len(factor), np.iinfo(np.uint64).max, np.uint64)
-    for start in range(0, len(shingles), 2048):  # in blocks, so that memory is the same for any text
-        part = shingles[start : start + 2048, None]
+def minhashes(shingles: np.ndarray, n: int) -> np.ndarray:
+    factor, offset = _coefficients(n)
+    least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
+    for start in range(0, len(shingles), 1024):  # in blocks, so that memory is the same for any text
+        part = shingles[start : start + 1024, None]
         np.minimum(least, ((part ^ offset) * factor).min(axis=0), out=least)
+    return least
+
+
+def nibbles(least: np.ndarray) -> np.ndarray:
+    """4 bits of every minhash, 16 in a long."""
     bits = (least >> np.uint64(28) & np.uint64(15)).reshape(-1, 16) << np.arange(0, 64, 4, dtype=np.uint64)
-    codes = np.bitwise_or.reduce(bits, axis=1)
+    return np.bitwise_or.reduce(bits, axis=1).view(np.int64)
+
+
+def collections(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The WIDTH values of the left collection, then those of the right one, and the 4 bits of their minhashes."""
+    least = minhashes(shingles, 2 * WIDTH * HALF)
+    codes = nibbles(least)
     least = least.reshape(2 * WIDTH, HALF)
     values = np.arange(1, 2 * WIDTH + 1, dtype=np.uint64)  # values of different places never meet
     for j in range(HALF):
         values = _mix(values, least[:, j])
-    return values.view(np.int64), codes.view(np.int64)
+    return values.view(np.int64), codes
+
+
+def _differing(x: Column) -> Column:
+    """How many of the 16 groups of 4 bits are not 0."""
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+    return F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
 
 
-def unlike(a: str, b: str) -> Column:
-    """How many of the minhashes differ in their 4 bits."""
-    total = F.lit(0)
-    for i in range(2 * WIDTH * HALF // 16):
-        x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        total = total + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
-    return total
+def unlike(a: str, b: str, longs: int) -> Column:
+    """How many minhashes of two texts differ in their 4 bits. Few longs are written out, which Spark compiles."""
+    if longs <= 6:
+        return sum((_differing(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(longs)), F.lit(0))
+    each = F.zip_with(a, b, lambda x, y: _differing(x.bitwiseXOR(y)))
+    return F.aggregate(each, F.lit(0), lambda total, n: total + n)
 
 
-#: A pair of the similarity sought differs in a binomial number of minhashes; beyond its mean and 4.5 deviations no
-#: pair is looked at. For 0.85 that is 28.
-def most_unlike(percent: int) -> int:
-    n, rate = 2 * WIDTH * HALF, (1 - percent / 100) * 15 / 16
+def most_unlike(n: int, percent: int) -> int:
+    """Of n minhashes a pair of the similarity sought differs in a binomial number. No pair beyond its mean and 4.5
+    deviations is looked at; one in 300,000 of those that are just similar enough lies there, of others fewer."""
+    rate = (1 - percent / 100) * 15 / 16
     return int(n * rate + 4.5 * (n * rate * (1 - rate)) ** 0.5)
 
 
@@ -105,8 +123,9 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        sets = [shingle_set(text).view(np.int64) for text in batch["text"]]
-        yield pd.DataFrame({"id": batch["doc_id"], "n": [len(s) for s in sets], "shingles": sets})
+        sets = [shingle_set(text) for text in batch["text"]]
+        fine = [nibbles(minhashes(s, FINE)) for s in sets]
+        yield pd.DataFrame({"id": batch["doc_id"], "n": [len(s) for s in sets], "shingles": [s.view(np.int64) for s in sets], "fine": fine})
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -183,7 +202,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     members = save(keys.join(buckets, "key"), "members")
 
     ids = save(members.select(F.col("node").alias("doc_id")).distinct(), "candidates")
-    sets = save(docs.join(ids, "doc_id", "left_semi").mapInPandas(_sets, "id long, n int, shingles array<long>"), "sets")
+    sets = save(docs.join(ids, "doc_id", "left_semi").mapInPandas(_sets, "id long, n int, shingles array<long>, fine array<long>"), "sets")
 
     ends = members.select(F.col("low").alias("a"), F.col("node").alias("b")).union(members.select(F.col("node").alias("a"), F.col("high").alias("b")))
     tried = save(ends.filter("a < b").distinct(), "pairs")
@@ -195,17 +214,19 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     named = members.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     apart = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
     rest = named.join(apart, "key").select("node", "component").distinct().join(nodes, "node")
+    rest = rest.join(sets.select(F.col("id").alias("node"), "fine"), "node")
     left, right = F.slice("cells", 1, WIDTH), F.slice("cells", WIDTH + 1, WIDTH)
-    rest = save(rest.select("node", "n", "component", "codes", left.alias("left"), right.alias("right")), "apart")
+    rest = save(rest.select("node", "n", "component", "codes", "fine", left.alias("left"), right.alias("right")), "apart")
     if not rest.isEmpty():
         a, b = (rest.select(*[F.col(c).alias(f"{c}_{side}") for c in rest.columns], F.explode("left").alias("value")) for side in "ab")
         pairs = (
             a.join(b, "value")
             .filter("node_a < node_b AND component_a <> component_b")
             .filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-            .filter(unlike("codes_a", "codes_b") <= most_unlike(percent))
+            .filter(unlike("codes_a", "codes_b", 6) <= most_unlike(2 * WIDTH * HALF, percent))
             .filter(F.arrays_overlap("right_a", "right_b"))
             .filter(F.col("value") == F.array_min(F.array_intersect("left_a", "left_b")))
+            .filter(unlike("fine_a", "fine_b", FINE // 16) <= most_unlike(FINE, percent))
         )
         pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).join(tried, ["a", "b"], "left_anti")
         more = save(confirmed(pairs, sets, percent), "confirmed")
