@@ -78,7 +78,9 @@ def notices(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         held = reduce(Column.__add__, [F.when(F.array_contains("words", w), x * x).otherwise(0.0) for w, x in vectors[name].items()])
         return held >= 0.999999 * (threshold * norms[name]) ** 2
 
-    candidates = _lines(files).filter(reduce(Column.__or__, [may_reach(name) for name in vectors]))
+    # A generator, as a filter would be pushed below the words and split the line again for each word of a template.
+    reach = reduce(Column.__or__, [may_reach(name) for name in vectors])
+    candidates = _lines(files).select("id", "line", "words", F.explode(F.when(reach, F.array(F.lit(True)))).alias("reach"))
     rows = candidates.select("id", "line", F.size("words").alias("n_words"), F.explode("words").alias("word"))
     rows = rows.groupBy("id", "line", "n_words", "word").agg(F.count(F.lit(1)).alias("times"))
     spark = files.sparkSession
