@@ -1,9 +1,9 @@
 """Near duplicates by MinHash with tensored banding.
 
 A table key of k minhashes is a pair: one value of the left collection and one of the right, each made of k/2
-minhashes. `WIDTH` values on either side give WIDTH**2 tables from 2 * WIDTH * HALF minhashes, where plain banding
-computes HALF * 2 * WIDTH**2. Two texts of similarity s meet with probability (1 - (1 - s**HALF)**WIDTH)**2, which is
-0.9997 at s = 0.85 and more above. A pair of values can only be shared if each of them is, so the tables are formed
+minhashes. `width` values on either side give width**2 tables from 2 * width * HALF minhashes, where plain banding
+computes HALF * 2 * width**2. Two texts of similarity s meet with probability (1 - (1 - s**HALF)**width)**2. The width
+follows from the similarity sought, so that this is 0.9997 at least: 12 for 0.85, 18 for 0.80. A pair of values can only be shared if each of them is, so the tables are formed
 only from values that two texts share; most texts have none and go no further.
 
 Texts of one shingle set are one node, so copies never meet each other in a bucket. Every candidate is confirmed on
@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from atmolake.llm.common import Memo, save, words_of
 
 SHINGLE = 5
-WIDTH, HALF = 12, 4
+HALF = 4
+#: Probability with which two texts that are just similar enough meet, at least.
+MEET = 0.9997
 #: Minhashes of candidates, to tell what is nearly similar enough from what is.
 FINE = 1024
 
@@ -72,18 +74,26 @@ def minhashes(shingles: np.ndarray, n: int) -> np.ndarray:
     return least
 
 
+def width_for(percent: int) -> int:
+    """Values of either collection; even, so that their minhashes fill longs of 16."""
+    width = 2
+    while (1 - (1 - (percent / 100) ** HALF) ** width) ** 2 < MEET:
+        width += 2
+    return width
+
+
 def nibbles(least: np.ndarray) -> np.ndarray:
     """4 bits of every minhash, 16 in a long."""
     bits = (least >> np.uint64(28) & np.uint64(15)).reshape(-1, 16) << np.arange(0, 64, 4, dtype=np.uint64)
     return np.bitwise_or.reduce(bits, axis=1).view(np.int64)
 
 
-def collections(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The WIDTH values of the left collection, then those of the right one, and the 4 bits of their minhashes."""
-    least = minhashes(shingles, 2 * WIDTH * HALF)
+def collections(shingles: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The `width` values of the left collection, then those of the right one, and the 4 bits of their minhashes."""
+    least = minhashes(shingles, 2 * width * HALF)
     codes = nibbles(least)
-    least = least.reshape(2 * WIDTH, HALF)
-    values = np.arange(1, 2 * WIDTH + 1, dtype=np.uint64)  # values of different places never meet
+    least = least.reshape(2 * width, HALF)
+    values = np.arange(1, 2 * width + 1, dtype=np.uint64)  # values of different places never meet
     for j in range(HALF):
         values = _mix(values, least[:, j])
     return values.view(np.int64), codes
@@ -98,7 +108,7 @@ def _differing(x: Column) -> Column:
 
 def unlike(a: str, b: str, longs: int) -> Column:
     """How many minhashes of two texts differ in their 4 bits. Few longs are written out, which Spark compiles."""
-    if longs <= 6:
+    if longs <= 9:
         return sum((_differing(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(longs)), F.lit(0))
     each = F.zip_with(a, b, lambda x, y: _differing(x.bitwiseXOR(y)))
     return F.aggregate(each, F.lit(0), lambda total, n: total + n)
@@ -111,14 +121,17 @@ def most_unlike(n: int, percent: int) -> int:
     return int(n * rate + 4.5 * (n * rate * (1 - rate)) ** 0.5)
 
 
-def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        out = []
-        for doc_id, text in zip(batch["doc_id"], batch["text"]):
-            found = shingle_set(text)
-            digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None
-            out.append((doc_id, len(found), digest, *(collections(found) if len(found) else (None, None))))
-        yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "set_hash", "cells", "codes"])
+def _sketch(width: int):
+    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+                found = shingle_set(text)
+                digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None
+                out.append((doc_id, len(found), digest, *(collections(found, width) if len(found) else (None, None))))
+            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "set_hash", "cells", "codes"])
+
+    return sketch
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -174,8 +187,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     Null and empty texts have n_shingles 0 and are their own component. A null doc_id takes no part: it has a null
     component and is kept. A repeated doc_id is one node; each of its rows gets the component of its own text.
     """
+    width = width_for(percent)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketches = save(docs.mapInPandas(_sketch, "doc_id long, n_shingles long, set_hash binary, cells array<long>, codes array<long>"), "sketches")
+    sketches = save(docs.mapInPandas(_sketch(width), "doc_id long, n_shingles long, set_hash binary, cells array<long>, codes array<long>"), "sketches")
 
     # One node for each distinct set. The cells follow from the set, so any row's will do.
     nodes = save(
@@ -189,8 +203,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     cells = nodes.select("node", "n", F.posexplode("cells").alias("place", "value"))
     shared = cells.groupBy("value").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("value")
     kept = cells.join(shared, "value").groupBy("node", "n").agg(
-        F.collect_list(F.when(F.col("place") < WIDTH, F.col("value"))).alias("left"),
-        F.collect_list(F.when(F.col("place") >= WIDTH, F.col("value"))).alias("right"),
+        F.collect_list(F.when(F.col("place") < width, F.col("value"))).alias("left"),
+        F.collect_list(F.when(F.col("place") >= width, F.col("value"))).alias("right"),
     )
     keys = save(
         kept.select("node", "n", F.explode("left").alias("l"), "right")
@@ -215,7 +229,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     apart = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
     rest = named.join(apart, "key").select("node", "component").distinct().join(nodes, "node")
     rest = rest.join(sets.select(F.col("id").alias("node"), "fine"), "node")
-    left, right = F.slice("cells", 1, WIDTH), F.slice("cells", WIDTH + 1, WIDTH)
+    left, right = F.slice("cells", 1, width), F.slice("cells", width + 1, width)
     rest = save(rest.select("node", "n", "component", "codes", "fine", left.alias("left"), right.alias("right")), "apart")
     if not rest.isEmpty():
         a, b = (rest.select(*[F.col(c).alias(f"{c}_{side}") for c in rest.columns], F.explode("left").alias("value")) for side in "ab")
@@ -223,7 +237,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
             a.join(b, "value")
             .filter("node_a < node_b AND component_a <> component_b")
             .filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-            .filter(unlike("codes_a", "codes_b", 6) <= most_unlike(2 * WIDTH * HALF, percent))
+            .filter(unlike("codes_a", "codes_b", 2 * width * HALF // 16) <= most_unlike(2 * width * HALF, percent))
             .filter(F.arrays_overlap("right_a", "right_b"))
             .filter(F.col("value") == F.array_min(F.array_intersect("left_a", "left_b")))
             .filter(unlike("fine_a", "fine_b", FINE // 16) <= most_unlike(FINE, percent))

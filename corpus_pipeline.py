@@ -16,6 +16,10 @@ from atmolake.llm import near_dedup, packing, pii, quality, toxicity
 from atmolake.llm.common import save, table
 
 
+#: Texts of this similarity in percent of five-word shingles are near duplicates; op6 has 85 by its own contract.
+DEDUP_PERCENT = 80
+
+
 def _with_text(docs: DataFrame, changed: DataFrame) -> DataFrame:
     """The columns of docs, from rows whose text may have changed."""
     if "n_chars" in docs.columns:
@@ -42,11 +46,12 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates stays; so do all rows without an id.
+    """The document with the smallest id of each group of near duplicates, from a similarity of 0.80 on, stays; so do
+    all rows without an id.
 
     Of rows that repeat an id the one with the smallest text stays.
     """
-    found = near_dedup.near_duplicates(docs)
+    found = near_dedup.near_duplicates(docs, DEDUP_PERCENT)
     gone = save(found.filter("NOT kept").select("doc_id").distinct(), "near-copies")
     left = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
     again = save(docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"), "repeated-ids")

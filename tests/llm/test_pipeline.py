@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import random
+
 import corpus_pipeline
-from atmolake.llm import pii
+from atmolake.llm import near_dedup, pii
 from atmolake.llm.common import save
 from tests.llm.conftest import SF_DIR
 
@@ -42,3 +44,26 @@ def test_repeated_ids_leave_one_row(spark):
     df = spark.createDataFrame([(1, text, "x"), (1, text, "x"), (2, text, "y"), (None, text, "z")], "doc_id long, text string, source string")
     rows = corpus_pipeline.dedup_stage(spark, df, SF_DIR).collect()
     assert sorted((r["doc_id"] or 0) for r in rows) == [0, 1]
+
+
+def test_near_copies_from_080_on_go(spark):
+    """Pairs of 0.80 to 0.85 and pairs just below 0.80, against full sets."""
+    rng, docs, similar = random.Random(11), [], set()
+    for i in range(300):
+        a = [f"p{i}w{j}" for j in range(200)]
+        b = list(a)
+        for k in rng.sample(range(10, 190), 5):
+            b[k] = f"e{k}"
+        while rng.random() < 0.7:  # a few shingles more or less
+            b.pop()
+        s, t = ({tuple(x[j : j + 5]) for j in range(len(x) - 4)} for x in (a, b))
+        if 100 * len(s & t) >= 80 * len(s | t):
+            similar.add((i, len(s & t) / len(s | t)))
+        docs += [(2 * i, " ".join(a)), (2 * i + 1, " ".join(b))]
+    assert any(x < 0.82 for _, x in similar) and 0 < sum(x < 0.85 for _, x in similar) and len(similar) < 300
+    rows = corpus_pipeline.dedup_stage(spark, spark.createDataFrame(docs, "doc_id long, text string"), SF_DIR).collect()
+    assert {r["doc_id"] for r in rows} == {i for i, _ in docs} - {2 * i + 1 for i, _ in similar}
+
+
+def test_tables_for_the_similarity_sought():
+    assert [near_dedup.width_for(p) for p in (85, 80)] == [12, 18]
