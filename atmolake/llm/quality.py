@@ -3,7 +3,8 @@
 All of it is DataFrame expressions. `frequent_lines` hashes the normalised lines of all documents and counts, for
 each host, in how many distinct documents a line stands; exact copies of one text are one document. `judge` then
 removes such lines, but from the document with the smallest id, so that a text never goes with all its copies, and
-rejects documents that are short, repetitive or depleted by the removal.
+rejects documents that are short, repetitive or depleted by the removal. `shared_lines`, which the pipeline takes
+instead, has limits that do not grow with a host, and counts long lines across hosts.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from atmolake.llm.common import BLANK_RUN, BLANKS, NO_BLANK, save
 
 #: A line goes if more documents of its host have it than both of these.
 MIN_DOCS, MIN_SHARE = 20, 0.05
+#: Without a share: a line goes if more documents of its host have it than MIN_DOCS; a line of more words than LONG_WORDS,
+#: if more documents of any host have it than MIN_DOCS_LONG.
+LONG_WORDS, MIN_DOCS_LONG = 50, 5
 #: Rules on a single document.
 MIN_WORDS, MAX_REPEAT_PERCENT, MAX_REMOVED_PERCENT = 50, 50, 50
 
@@ -61,17 +65,37 @@ def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_share: float =
     )
 
 
+def shared_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_docs_long: int = MIN_DOCS_LONG) -> DataFrame:
+    """One row for each text of a host that has them: host, document (hash of the text), lines (hashes) and owners.
+
+    The limits are numbers of distinct documents at any size of a host. Lines meet their counts in a join, so no list
+    is longer than the lines of a text. Copies are one row before they shuffle; a hot line has one row for each text.
+    """
+    each = lambda s: F.struct(line_hash(s).alias("line"), (F.regexp_count(s, F.lit(NO_BLANK + "+")) > LONG_WORDS).alias("long"))
+    lines = docs.select(_host().alias("host"), "doc_id", F.xxhash64(_text()).alias("document"), F.inline(F.transform(F.split(_text(), "\n"), each)))
+    lines = lines.filter(F.col("line") != F.xxhash64(F.lit(""))).groupBy("host", "document", "line", "long").agg(F.min("doc_id").alias("doc_id"))
+    place = F.when(F.col("long"), F.xxhash64("line")).otherwise(F.xxhash64("line", "host"))
+    lines = save(lines.withColumn("place", place), "lines")
+    counts = lines.groupBy("place", "long").agg(F.count_distinct("document").alias("n"), F.min("doc_id").alias("owner"))
+    counts = counts.filter(F.col("n") > F.when(F.col("long"), min_docs_long).otherwise(min_docs)).select("place", "owner")
+    found = lines.join(counts, "place").groupBy("host", "document").agg(F.collect_list(F.struct("line", "owner")).alias("shared"))
+    return found.select("host", "document", F.col("shared.line").alias("lines"), F.col("shared.owner").alias("owners"))
+
+
 def judge(docs: DataFrame, frequent: DataFrame, into: str = "quality") -> DataFrame:
-    """All rows and columns of docs, and a struct column of the name `into`.
+    """All rows and columns of docs, and a struct column of the name `into`. frequent is of frequent_lines or shared_lines.
 
     Its fields: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_removed_lines, n_removed_words, text
     (without the removed lines), base_failed, depleted and kept. Null and empty texts have no words, so they are
     base_failed. Repeated rows are judged alike; a null doc_id owns no line. Columns of docs may have any names but
     those beginning with `_q_`.
     """
-    lines = frequent.select(F.col("host").alias("_q_host"), F.col("lines").alias("_q_lines"), F.col("owners").alias("_q_owners"))
+    lines = frequent.select(*[F.col(c).alias(f"_q_{c}") for c in frequent.columns])
+    on = F.col("_q_host") == _host()
+    if "document" in frequent.columns:
+        on &= F.col("_q_document") == F.xxhash64(_text())
     trimmed = F.trim(_text(), F.lit(BLANKS))
-    df = docs.join(lines, F.col("_q_host") == _host(), "left")
+    df = docs.join(lines, on, "left")
     df = df.withColumns(
         {
             "_q_words": F.when(trimmed != "", F.split(trimmed, BLANK_RUN)).otherwise(F.array().cast("array<string>")),

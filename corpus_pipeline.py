@@ -28,8 +28,11 @@ def _with_text(docs: DataFrame, changed: DataFrame) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; the lines that the rules remove are cut out of the kept ones."""
-    judged = quality.judge(docs, save(quality.frequent_lines(docs), "frequent-lines"), into="_quality")
+    """Rejected documents go; the lines that the rules remove are cut out of the kept ones.
+
+    Lines go by numbers of documents and not by a share of the host, as op5 has it in its SQL.
+    """
+    judged = quality.judge(docs, save(quality.shared_lines(docs), "shared-lines"), into="_quality")
     text = F.col("_quality")["text"]
     changed = {"text": text}
     if "n_chars" in docs.columns:

@@ -97,6 +97,22 @@ def test_depleted_documents_are_rejected(spark):
     assert judged[0]["kept"] and all(judged[i]["depleted"] and not judged[i]["kept"] and not judged[i]["base_failed"] for i in range(1, 30))
 
 
+def test_shared_lines_at_any_size_of_a_host(spark):
+    """The same boilerplate goes from a host of 60 and from one of 900; a passage is counted across hosts."""
+    letters = str.maketrans("0123456789", "abcdefghij")  # digits count as 0
+    own = lambda i: " ".join(f"t{i}w{j}".translate(letters) for j in range(120))
+    passage = " ".join(f"passage{chr(97 + j % 26)}{chr(97 + j // 26)}" for j in range(55))
+    rows = [(i, ("Click here now\n" if i < 30 else "") + own(i), "small") for i in range(60)]
+    rows += [(1000 + i, ("Read our news\n" if i < 30 else "Twenty only\n" if i < 50 else "") + own(1000 + i), "large") for i in range(900)]
+    rows += [(3000 + i, passage + "\n" + own(3000 + i), f"host{i}") for i in range(6)] + [(3000, passage + "\n" + own(3000), "host0")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = quality.judge(docs, quality.shared_lines(docs)).collect()
+    assert len(out) == len(rows)
+    gone = {r["doc_id"] for r in out if r["quality"]["n_removed_lines"]}
+    assert gone == {*range(1, 30), *range(1001, 1030), *range(3001, 3006)}
+    assert all(r["quality"]["kept"] and r["quality"]["text"] == own(r["doc_id"]) for r in out if r["doc_id"] in gone)
+
+
 # Near duplicates
 
 
