@@ -11,7 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from atmolake.llm import ann, attention, bpe, near_dedup, packing, pii, quality, sharding, toxicity
+from atmolake.llm import ann, attention, bpe, lm, near_dedup, packing, pii, quality, sharding, toxicity
 from atmolake.llm.queries import QUERIES
 from tests.llm.conftest import EDGE, SF_DIR
 
@@ -343,3 +343,30 @@ def test_language_model_base_scores(spark, documents):
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(tokens), sum(counts[t] > 0 for t in tokens), n)
         assert r["base_score"] == pytest.approx(sum(math.log10((counts[t] + 1) / (n + v + 1)) for t in tokens))
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2) and r["score"] < 0
+
+
+def test_windows_cover_whole_training_texts(monkeypatch):
+    """Every id of every text is predicted in exactly one window, however long the text is."""
+    import pandas as pd
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    subwords = lm.Subwords(path)
+    texts = [" ".join(f"word{i} and more" for i in range(3000)), None, "", "one two", " ".join(["again"] * 700)]
+    expected = collections.Counter(i for t in texts for i in subwords.encode((t or "").encode().split()))
+    for held in (20_000, 7):
+        monkeypatch.setattr(lm, "HELD_WINDOWS", held)
+        out = pd.concat(lm._gather(path)([pd.DataFrame({"doc_id": range(5), "text": texts})]))
+        windows = [w for w in out["ids"] if w is not None]
+        assert {len(w) for w in windows} == {attention.SPAN + 1}
+        predicted = collections.Counter(int(i) for w in windows for i in w[1:])
+        del predicted[subwords.end]
+        assert predicted == expected
+
+
+def test_scores_of_odd_rows_are_finite(edge):
+    rows = lm.scored(edge, public_tokenizers.path("byte_bpe_50k.tiktoken")).collect()
+    assert len(rows) == len(EDGE) and all(math.isfinite(r["score"]) for r in rows)
+
+
+def test_rounds_grow_with_the_windows():
+    assert [lm.n_rounds(n) for n in (0, 10, 50_000, 60_000, 3_200_000)] == [1, 1, 1, 2, 8]
