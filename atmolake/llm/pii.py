@@ -107,6 +107,22 @@ def _iban(found: str, key: bytes) -> str | None:
     return "".join(c if c == " " else next(plain) for c in found)
 
 
+def _ibans(text: str, key: bytes) -> Iterator[tuple[int, int, str]]:
+    """Of the ends before a blank, that at the length of the country is tried first, so that no word behind is taken along."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        at = m.start() + 1
+        found = m[0]
+        length = IBAN_LENGTHS.get(found[:2])
+        ends = [len(found), *(i for i in range(len(found) - 1, 0, -1) if found[i] == " ")]
+        right = [end for end in ends if end - found.count(" ", 0, end) == length]
+        for end in [*right, *(ends[:1] if length else ends)]:
+            if (new := _iban(found[:end], key)) is not None:
+                at = m.start() + end
+                yield m.start(), at, new
+                break
+
+
 def _ipv4(found: str, key: bytes) -> str | None:
     parts = found.split(".")
     if any(int(p) > 255 or (p[0] == "0" and p != "0") for p in parts):
@@ -196,6 +212,15 @@ def _secret(found: str, key: bytes) -> str | None:
 _EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])")
 _SECRET = re.compile(r"(?i)(?:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key)[\"']?\s*[=:]\s*[\"']?([A-Za-z0-9+/_-]{16,})")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+    }.items()
+    for country in countries.split()
+}
 #: By the first characters; each alternative that matches is validated by its own rule, and a failure tries the next.
 _NUMBERS: list[tuple[str, re.Pattern, Callable[[str, bytes], str | None]]] = [
     ("ipv4", re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"), _ipv4),
@@ -204,8 +229,10 @@ _NUMBERS: list[tuple[str, re.Pattern, Callable[[str, bytes], str | None]]] = [
     ("card", re.compile(r"(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})(?![0-9])"), _card),
     ("phone", re.compile(r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{2,4}[ .-][0-9]{3,4}(?![0-9])|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9])|(?:1[ .-])?[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4}(?![0-9])"), _phone),
 ]
-_START = re.compile(r"(?<![A-Za-z0-9_.+@/-])[+(]?[0-9]")
-_WORDS = [("email", _EMAIL, 0, _email, re.compile("@")), ("secret", _SECRET, 1, _secret, re.compile("(?i)token|secret|passw|key")), ("iban", _IBAN, 0, _iban, re.compile("[A-Z]{2}[0-9]{2}"))]
+#: A bracket or plus sign before a digit, and the first digit of a number, also that behind the sign.
+_START = re.compile(r"\((?=[0-9])|(?<![A-Za-z0-9])(?:\+(?=[0-9])|[0-9])")
+_WORDS = [("email", _EMAIL, 0, _email, re.compile("@")), ("secret", _SECRET, 1, _secret, re.compile("(?i)token|secret|passw|key"))]
+_IBAN_HINT = re.compile("[A-Z]{2}[0-9]{2}")
 
 
 def spans(text: str, key: bytes = DEFAULT_KEY) -> list[tuple[int, int, str, str]]:
@@ -216,6 +243,8 @@ def spans(text: str, key: bytes = DEFAULT_KEY) -> list[tuple[int, int, str, str]
             for m in pattern.finditer(text):
                 if (new := make(m[group], key)) is not None:
                     found.append((*m.span(group), kind, new))
+    if _IBAN_HINT.search(text):
+        found += [(start, end, "iban", new) for start, end, new in _ibans(text, key)]
     taken = sorted(found)
     free = 0
     k = 0
@@ -223,6 +252,8 @@ def spans(text: str, key: bytes = DEFAULT_KEY) -> list[tuple[int, int, str, str]
         at = m.start()
         if at < free:
             continue
+        if at > 1 and text[at - 1] in ".+/-" and "0" <= text[at - 2] <= "9" and at - 1 != free:
+            continue  # it goes on with a number that is none of these
         while k < len(taken) and taken[k][1] <= at:
             k += 1
         if k < len(taken) and taken[k][0] <= at:
@@ -256,7 +287,7 @@ def pseudonymize(docs: DataFrame, key: bytes = DEFAULT_KEY, text: str = "text",
 
     Null and empty texts stay. Rows are replaced one by one, so repeated rows stay alike; no row is moved.
     """
-    kinds = sorted([w[0] for w in _WORDS] + [n[0] for n in _NUMBERS])
+    kinds = sorted(["iban"] + [w[0] for w in _WORDS] + [n[0] for n in _NUMBERS])
     schema = "text string, " + ", ".join(f"{kind} int" for kind in kinds)
 
     @F.pandas_udf(schema)

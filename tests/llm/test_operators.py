@@ -230,6 +230,33 @@ def test_what_is_not_valid_stays():
     assert pii.pseudonymized(text) == (text, []) and pii.pseudonymized(None) == (None, []) and pii.pseudonymized("") == ("", [])
 
 
+def test_numbers_behind_brackets_and_marks():
+    values = {"date": "1985-03-12", "ipv4": "192.168.0.1", "phone": "555-323-4567", "card": "4316522678525456", "ssn": "123-45-6789"}
+    for kind, value in values.items():
+        for form in ("({})", "see f({}).", "[({})]", "_{}_", "x/{}", "--{}", "@{}", "..{}", "+{}"):
+            text = form.format(value)
+            new, found = pii.pseudonymized(text)
+            if form == "+{}" and kind in ("phone", "ssn"):
+                assert value not in new  # a telephone number of another country
+            else:
+                assert [f[2] for f in found] == [kind] and text[found[0][0] : found[0][1]] == value, text
+    for text in ("2020-01-01/2020-02-01", "2020-01-01-2020-02-01", "(2020-01-01)-(2020-02-01)"):
+        assert [f[2] for f in pii.pseudonymized(text)[1]] == ["date", "date"]
+    for text in ("1.2.3.4.5", "v1.2.3.4", "7/12/31/2020", "0000-2020-01-01", "9-555-323-4567-1"):
+        assert pii.pseudonymized(text) == (text, [])
+
+
+def test_ibans_before_other_words():
+    ibans = ["AT61 1904 3002 3457 3201", "BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332", "LU28 0019 4006 4475 0000", "PL61109010140000071219812874", "SE45 5000 0000 0583 9825 7466", "GB82 WEST 1234 5698 7654 32"]
+    for iban in ibans:
+        for behind in ("", " EUR", " 500", " EURO 12", " 1234 5678", " and", ", EUR"):
+            text = f"to {iban}{behind}"
+            spans = [f for f in pii.spans(text) if f[2] == "iban"]
+            assert [(a, b) for a, b, *_ in spans] == [(3, 3 + len(iban))], text
+            assert pii._mod97(spans[0][3].replace(" ", "")) == 1
+    assert [f[2] for f in pii.spans(" ".join(ibans))] == ["iban"] * len(ibans)
+
+
 def test_same_number_in_other_formats_stays_linked():
     digits = lambda s: "".join(c for c in s if c.isdigit())[-10:]
     assert digits(pii.pseudonymized("call +1 (743) 555-3824")[0]) == digits(pii.pseudonymized("743-555-3824")[0])
