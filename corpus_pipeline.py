@@ -49,20 +49,21 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates, from a similarity of 0.80 on, stays; so do
-    all rows without an id.
+    """Of each group of near duplicates, from a similarity of 0.80 on, the row with the smallest id stays, of equal ids
+    that with the smallest hash of its text; so do all rows without an id.
 
-    Of rows that repeat an id the one with the smallest text stays.
+    Each row is judged by its own text: rows that share an id are one only if their texts are linked, or have no words.
     """
-    found = near_dedup.near_duplicates(docs, DEDUP_PERCENT)
-    gone = save(found.filter("NOT kept").select("doc_id").distinct(), "near-copies")
-    left = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
-    again = save(docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"), "repeated-ids")
-    if again.isEmpty():
-        return left
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    first = left.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(row, F.struct("text", F.to_json(row))).alias("_row"))
-    return left.join(again, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns]).union(first.select("_row.*"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = save(docs.withColumn("_row", F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())), "numbered")
+    found = near_dedup.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), DEDUP_PERCENT)
+    found = found.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("_row"), "component_id", (F.col("n_shingles") == 0).alias("_empty"))
+    narrow = rows.filter("_row IS NOT NULL").select("_row", "doc_id", F.xxhash64("text").alias("_text"))
+    group = F.struct("_empty", F.when(F.col("_empty"), F.col("doc_id").cast("long")).otherwise(F.col("component_id")).alias("_id"))
+    grouped = save(narrow.join(found, "_row").select("_row", "doc_id", "_text", group.alias("_group")), "grouped")
+    first = grouped.groupBy("_group").agg(F.min(F.struct("doc_id", "_text", "_row")).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    gone = grouped.join(first.filter("_n > 1"), "_group").filter(F.col("_row") != F.col("_first._row")).select("_row")
+    return rows.join(save(gone, "near-copies"), "_row", "left_anti").select(*columns)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

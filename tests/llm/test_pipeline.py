@@ -67,3 +67,11 @@ def test_near_copies_from_080_on_go(spark):
 
 def test_tables_for_the_similarity_sought():
     assert [near_dedup.width_for(p) for p in (85, 80)] == [12, 18]
+
+
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    text = lambda k: " ".join(f"{k}{i}" for i in range(80))
+    rows = [(1, text("a")), (1, text("b")), (2, text("b")), (3, text("c")), (4, text("c")), (4, text("d")), (4, text("d") + " more"), (5, ""), (5, None), (6, "")]
+    out = corpus_pipeline.dedup_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF_DIR).collect()
+    kept = sorted((r["doc_id"], (r["text"] or "")[:2]) for r in out)
+    assert kept == [(1, "a0"), (1, "b0"), (3, "c0"), (4, "d0"), (5, ""), (6, "")]
