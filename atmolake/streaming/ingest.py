@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from atmolake.fixed_values import LOCAL_TIME_ZONE
 from atmolake.operators.flatten import flatten_aq, flatten_pws, flatten_weather, split_pws_responses, split_responses
@@ -59,6 +59,24 @@ def quarantined_documents(documents: DataFrame) -> DataFrame:
     return broken_documents(documents).select(F.lit("broken").alias("reason"), F.lit(None).cast("string").alias("station"), "value")
 
 
+def _with_mismatches(quarantined: DataFrame, rejected: DataFrame) -> DataFrame:
+    row = F.to_json(F.struct("*"))
+    return quarantined.unionByName(rejected.select(F.lit("mismatch").alias("reason"), F.lit(None).cast("string").alias("station"), row.alias("value")))
+
+
+def quarantine_weather(documents: DataFrame) -> DataFrame:
+    """All that a load of weather leaves out: broken documents, refused responses, observations of another station."""
+    return _with_mismatches(quarantined_weather(documents), rejected_weather(documents))
+
+
+def quarantine_pws(documents: DataFrame) -> DataFrame:
+    return _with_mismatches(quarantined_documents(documents), rejected_pws(documents))
+
+
+#: What each load leaves out. For any other load these are the broken documents.
+QUARANTINES = {bronze_weather: quarantine_weather, bronze_pws: quarantine_pws, bronze_air_quality: quarantined_documents}
+
+
 def ingest(
     spark: SparkSession,
     landing: str,
@@ -67,14 +85,18 @@ def ingest(
     to_bronze: Callable[[DataFrame], DataFrame],
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Load all files of `landing` not loaded before into the bronze table at path `table`."""
+    """Load all files of `landing` not loaded before into the bronze table at path `table`.
+
+    What the load leaves out goes to the table `table` + `_quarantine` (reason, station, value) first, by a stream with a
+    checkpoint of its own: a repeated batch is not written twice, and files that were loaded before there was a
+    quarantine, or while it is written, are still taken.
+    """
+    left_out = QUARANTINES.get(to_bronze, quarantined_documents)(landed_documents(spark, landing, files_per_batch))
+    _start(left_out.writeStream, f"{table}_quarantine", f"{checkpoint}_quarantine").awaitTermination()
     rows = to_bronze(landed_documents(spark, landing, files_per_batch))
     dated = rows.withColumn("date", F.col("datetime").cast("timestamp_ntz").cast("date"))
-    return (
-        dated.writeStream.format("parquet")
-        .partitionBy("date")
-        .option("path", table)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _start(dated.writeStream.partitionBy("date"), table, checkpoint)
+
+
+def _start(writer: DataStreamWriter, table: str, checkpoint: str) -> StreamingQuery:
+    return writer.format("parquet").option("path", table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -186,3 +186,32 @@ def test_landing_to_marts_twice(spark, tmp_path):
     noonless = rebuilt["full_weather_places"].filter("place = 'p1' and hour(datetime) = 8").first()
     assert noonless.temperature == ((20 + 20 + 28) / 3 + 30) / 2
     assert noonless.pollutant_value == 58.0
+
+
+def test_what_a_load_leaves_out_is_in_its_quarantine(spark, tmp_path):
+    """Accepted, quarantined and empty responses are all that landed, also after a second load and a second file."""
+    refused = weather_line(3, 30).replace("200", "404")
+    empty = json.dumps({"WMKK:9:MY": {"metadata": {"status_code": 200, "language": "en-US", "units": "m"}, "observations": []}})
+    lines = {
+        ingest.bronze_weather: [weather_line(0, 30), weather_line(1, 30)[:60], refused, empty, weather_line(2, 31).replace("WMKK:9", "WSSS:9"), ""],
+        ingest.bronze_pws: [pws_line("I1", 0, 20), pws_line("I2", 0, 20)[:30], pws_line("I3", 0, 20).replace('{"I3"', '{"I4"')],
+        ingest.bronze_air_quality: [aq_line(0, "58**"), aq_line(1, "9*")[:25]],
+    }
+    expected = {
+        ingest.bronze_weather: ["broken", "mismatch", "refused"],
+        ingest.bronze_pws: ["broken", "mismatch"],
+        ingest.bronze_air_quality: ["broken"],
+    }
+    for to_bronze, landed in lines.items():
+        root = tmp_path / to_bronze.__name__
+        (root / "landing").mkdir(parents=True)
+        for times in (1, 2):
+            (root / "landing" / f"{times}.json").write_text("\n".join(landed))
+            for _ in range(2):  # the second load finds nothing new
+                ingest.ingest(spark, f"{root}/landing", f"{root}/table", f"{root}/checkpoint", to_bronze).awaitTermination()
+            out = spark.read.parquet(f"{root}/table_quarantine").collect()
+            assert sorted(r["reason"] for r in out) == sorted(expected[to_bronze] * times)
+            assert {r["value"] for r in out if r["reason"] == "broken"} == {landed[1]}
+            accepted = spark.read.parquet(f"{root}/table").count()
+            n_empty = times * sum(line in ("", empty) for line in landed)
+            assert accepted == times and accepted + len(out) + n_empty == times * len(landed)
