@@ -6,10 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atmolake.llm import ann, bpe, licenses, lm, near_dedup, packing, pii, quality, sharding, toxicity
+from atmolake.llm import ann, bpe, decontaminate, licenses, lm, near_dedup, packing, pii, quality, sharding, toxicity
 from atmolake.llm.common import table
 from atmolake.llm.registry import ORACLES, QUERIES, query
-from atmolake.llm.sql import QUALITY_SQL, SHARDING_SQL, license_sql
+from atmolake.llm.sql import DECONTAMINATION_SQL, QUALITY_SQL, SHARDING_SQL, license_sql
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -73,3 +73,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.scored(docs, toxicity.train(docs, labels), into="score")
     held_out = toxicity.crc_mod("doc_id", toxicity.HELD_OUT_FOLDS) == 0
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query(DECONTAMINATION_SQL)
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(docs, items).drop("spans")

@@ -54,6 +54,44 @@ FROM docs JOIN shards ON h >> (60 - depth) = p
 """
 
 
+def _word_rows(table: str, key: str) -> str:
+    """Words of a table's texts, one a row, numbered from 0; A-Z in lower case."""
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+  SELECT rid, {key}, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS i, len(ws) AS n FROM (
+    SELECT row_number() OVER () AS rid, {key}, regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM {table})"""
+
+
+def _windows(words: str, key: str, where: str = "true") -> str:
+    """All stretches of 1 to 10 consecutive words that `where` asks for."""
+    return " UNION ALL ".join(
+        f"""
+  SELECT * FROM (
+    SELECT rid, {key}, i, n, {m} AS length, string_agg(w, ' ') OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN CURRENT ROW AND {m - 1} FOLLOWING) AS passage
+    FROM {words} WHERE {where.format(m=m)}) WHERE i + {m} <= n"""
+        for m in range(1, 11)
+    )
+
+
+DECONTAMINATION_SQL = f"""
+WITH item_words AS ({_word_rows("benchmark", "item_id")}),
+doc_words AS ({_word_rows("documents", "doc_id")}),
+item_windows AS (SELECT DISTINCT item_id, length, passage FROM ({_windows("item_words", "item_id", "least(n, 10) = {m}")})),
+doc_windows AS ({_windows("doc_words", "doc_id", "{m} IN (SELECT length FROM item_windows)")}),
+hits AS (SELECT rid, item_id, i, d.length FROM doc_windows d JOIN item_windows USING (length, passage)),
+hit_words AS (SELECT rid, count(DISTINCT i + step) AS n_hit FROM hits, generate_series(0, 9) AS t(step) WHERE step < length GROUP BY rid),
+hit_items AS (
+  SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT rid, coalesce(item_id::VARCHAR, '') AS item FROM hits) GROUP BY rid),
+docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+counts AS (SELECT rid, count(*) AS n_words FROM doc_words GROUP BY rid)
+SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN counts USING (rid) LEFT JOIN hit_words USING (rid) LEFT JOIN hit_items USING (rid)
+"""
+
+
 def license_sql() -> str:
     from atmolake.llm.licenses import FILE_PERCENT, TEMPLATES, THRESHOLD
 
