@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from atmolake.llm import ann, bpe, decontaminate, licenses, lm, near_dedup, packing, pii, quality, sharding, toxicity
+from atmolake.llm import ann, bpe, decontaminate, licenses, lm, near_dedup, packing, pii, quality, runs, sharding, toxicity, whitening
 from atmolake.llm.common import table
 from atmolake.llm.registry import ORACLES, QUERIES, query
 from atmolake.llm.sql import DECONTAMINATION_SQL, QUALITY_SQL, SHARDING_SQL, license_sql
@@ -79,3 +79,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.contaminated(docs, items).drop("spans")
+
+
+@query()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.detected(table(spark, sf_dir, "documents"), alter=True, with_text=False)
