@@ -1,8 +1,8 @@
 """Principal components of vectors by incremental eigendecomposition, and vectors whitened by them.
 
 Each partition of the distinct vectors keeps a spectrum: count, mean, eigenvalues and eigenvectors of the scatter around
-the mean. A vector changes it by one centred rank-one update: the secular equation gives the new eigenvalues, after
-deflation of those that the update leaves alone. Spectra meet sixteen at a time, in tasks, and combine by one rank-one
+the mean. Centred rank-one updates change it, one for each row of a block's triangular factor and one for the way of the
+mean: the secular equation gives the new eigenvalues, after deflation of those that an update leaves alone. Spectra meet sixteen at a time, in tasks, and combine by one rank-one
 update for each direction of the other and one for the distance of the means. What comes out is a basis; Rayleigh-Ritz
 steps over all vectors then refine it until the residuals of the components are at rounding error.
 
@@ -24,6 +24,8 @@ from pyspark.sql.types import DecimalType
 from atmolake.llm.common import save
 
 COMPONENTS, RANK = 4, 128
+#: Vectors that are brought to one triangular factor before their rank-one updates.
+BLOCK = 4096
 #: Rayleigh-Ritz steps at most, and the residual, relative to the largest eigenvalue, at which they end.
 MAX_STEPS, RESIDUAL = 40, 1e-13
 #: Directions whose share of the largest eigenvalue is below this have no variance but rounding.
@@ -165,14 +167,24 @@ class Spectrum:
         self.n += 1
         self.mean = self.mean + away / self.n
 
+    def _add(self, n: int, mean: np.ndarray, rows: np.ndarray) -> None:
+        """n more vectors of that mean whose scatter around it is the sum of row' row."""
+        for row in rows:
+            self.update(row)
+        both, away = self.n + n, mean - self.mean
+        self.update(away * np.sqrt(self.n / both * n))
+        self.mean, self.n = self.mean + away * (n / both), both
+
+    def add_block(self, x: np.ndarray) -> None:
+        """Many vectors: a triangular factor has their scatter in at most as many rows as there are dimensions, so a block
+        costs so many rank-one updates and not one for each vector."""
+        mean = x.mean(0)
+        rows = x - mean
+        self._add(len(x), mean, np.linalg.qr(rows, mode="r") if len(rows) > rows.shape[1] else rows)
+
     def combine(self, other: Spectrum) -> None:
         if other.n:
-            n = self.n + other.n
-            away = other.mean - self.mean
-            for value, vector in zip(other.values, other.vectors.T):
-                self.update(np.sqrt(max(value, 0.0)) * vector)
-            self.update(away * np.sqrt(self.n / n * other.n))
-            self.mean, self.n = self.mean + away * (other.n / n), n
+            self._add(other.n, other.mean, (other.vectors * np.sqrt(np.maximum(other.values, 0.0))).T)
 
     def pack(self) -> list[float]:
         return [float(self.n), *self.mean, *self.values, *self.vectors.T.ravel()]
@@ -271,8 +283,9 @@ def fitted(fit: DataFrame, components: int = COMPONENTS, rank: int = RANK) -> Co
 
         spectrum = Spectrum(d, rank)
         for batch in batches:
-            for x in _matrix(batch).astype(float):
-                spectrum.add(x)
+            x = _matrix(batch).astype(float)
+            for i in range(0, len(x), BLOCK):
+                spectrum.add_block(x[i : i + BLOCK])
         if spectrum.n:
             yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "numbers": [spectrum.pack()]})
 
