@@ -53,9 +53,12 @@ def yyyymmdd_to_iso(text: Column) -> Column:
     return F.date_format(F.to_date(text, COMPACT_DATE_FORMAT), "yyyy-MM-dd")
 
 
-def parse_iso_datetime(text: Column) -> Column:
-    """Strict `yyyy-MM-ddTHH:mm:ss`; bad text raises under ANSI mode."""
-    return F.to_timestamp_ntz(text, F.lit(READING_TIME_FORMAT))
+def parse_iso_datetime(text: Column, strict: bool = True) -> Column:
+    """Exactly `yyyy-MM-ddTHH:mm:ss`; other text raises under ANSI mode, or gives NULL without `strict`."""
+    if strict:
+        return F.to_timestamp_ntz(text, F.lit(READING_TIME_FORMAT))
+    # Text that has the look of a time may still be none, such as a 30th of February.
+    return F.when(text.rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d$"), text.try_cast("timestamp_ntz"))
 
 
 def parse_yyyymmdd(text: Column) -> Column:

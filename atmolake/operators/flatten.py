@@ -34,15 +34,20 @@ def variant_text(value: Column) -> Column:
 # --- responses ----------------------------------------------------------------------------------
 
 
+def is_accepted(metadata: Column) -> Column:
+    """Whether a response has the status, language and units that a load takes. Never NULL."""
+    return F.coalesce(
+        (metadata["status_code"] == ACCEPTED_STATUS)
+        & (metadata["language"] == ACCEPTED_LANGUAGE)
+        & (metadata["units"] == ACCEPTED_UNITS),
+        F.lit(False),
+    )
+
+
 def split_responses(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Accepted and rejected responses; those without any observation are in neither."""
     given = responses.filter(F.size("observations") > 0)
-    accepted = F.coalesce(
-        (F.col("metadata.status_code") == ACCEPTED_STATUS)
-        & (F.col("metadata.language") == ACCEPTED_LANGUAGE)
-        & (F.col("metadata.units") == ACCEPTED_UNITS),
-        F.lit(False),
-    )
+    accepted = is_accepted(F.col("metadata"))
     return given.filter(accepted), given.filter(~accepted)
 
 
@@ -140,27 +145,18 @@ def pws_pressure(high: Column, low: Column, places: int | None = None) -> Column
     return F.coalesce(mean if places is None else round_exact(mean, places), high, low)
 
 
-def flatten_weather(
-    responses: DataFrame, tz: str = LOCAL_TIME_ZONE, strict: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """Bronze station weather, 35 text columns. Times are wall-clock times of `tz`."""
+def weather_columns(tz: str = LOCAL_TIME_ZONE) -> list[Column]:
+    """The 35 bronze columns, all text, of an observation in `obs`. Times are wall-clock times of `tz`."""
     computed = {
         "datetime": epoch_to_local(F.col("obs.valid_time_gmt"), tz).cast("string"),
         "expire_time_gmt": epoch_to_local(F.col("obs.expire_time_gmt"), tz).cast("string"),
         "weather_station": weather_station_id(F.col("obs.obs_id"), F.col("obs.key")),
     }
-    rows = responses.select("station", F.explode("observations").alias("obs")).select(
-        "station",
-        *[
-            (F.col(f"obs.`{field}`") if field else computed[name]).alias(name)
-            for name, field in BRONZE_WEATHER.items()
-        ],
-    )
-    return _guard(rows, strict)
+    return [(F.col(f"obs.`{field}`") if field else computed[name]).alias(name) for name, field in BRONZE_WEATHER.items()]
 
 
-def flatten_pws(responses: DataFrame, tz: str = LOCAL_TIME_ZONE, strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Bronze personal-station weather, 21 text columns."""
+def pws_columns(tz: str = LOCAL_TIME_ZONE) -> list[Column]:
+    """The 21 bronze columns, all text, of a personal station's observation in `obs`."""
     pressure = pws_pressure(
         safe_double(F.col("obs.metric.pressureMax")), safe_double(F.col("obs.metric.pressureMin"))
     )
@@ -169,23 +165,39 @@ def flatten_pws(responses: DataFrame, tz: str = LOCAL_TIME_ZONE, strict: bool =
         "weather_station": pws_station_id(F.col("obs.stationID")),
         "pressure": pressure.cast("string"),
     }
-    rows = responses.select("station", F.explode("observations").alias("obs")).select(
-        "station",
-        *[
-            (F.col(f"obs.{field}") if field else computed[name]).alias(name)
-            for name, field in BRONZE_PWS.items()
-        ],
-    )
-    return _guard(rows, strict)
+    return [(F.col(f"obs.{field}") if field else computed[name]).alias(name) for name, field in BRONZE_PWS.items()]
 
 
-def flatten_aq(readings: DataFrame) -> DataFrame:
-    """Bronze air quality `(location, datetime, value)` from parsed readings; incomplete ones dropped."""
-    return readings.filter(F.col("DATETIME").isNotNull() & F.col("API").isNotNull()).select(
+def flatten_weather(
+    responses: DataFrame, tz: str = LOCAL_TIME_ZONE, strict: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Bronze station weather, 35 text columns. Times are wall-clock times of `tz`."""
+    rows = responses.select("station", F.explode("observations").alias("obs")).filter("obs IS NOT NULL")
+    return _guard(rows.select("station", *weather_columns(tz)), strict)
+
+
+def flatten_pws(responses: DataFrame, tz: str = LOCAL_TIME_ZONE, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Bronze personal-station weather, 21 text columns."""
+    rows = responses.select("station", F.explode("observations").alias("obs")).filter("obs IS NOT NULL")
+    return _guard(rows.select("station", *pws_columns(tz)), strict)
+
+
+def aq_columns(time: Column) -> list[Column]:
+    """The bronze columns of a reading whose time is parsed."""
+    return [
         first_segment(F.col("STATION_LOCATION"), ",").alias("location"),
-        parse_iso_datetime(F.col("DATETIME")).cast("string").alias("datetime"),
+        time.cast("string").alias("datetime"),
         F.col("API").alias("value"),
-    )
+    ]
+
+
+def flatten_aq(readings: DataFrame, strict: bool = False) -> DataFrame:
+    """Bronze air quality `(location, datetime, value)` from parsed readings; incomplete ones dropped.
+
+    A reading whose time is no time is dropped too, or raises with `strict`; one such reading must not end a load.
+    """
+    time = parse_iso_datetime(F.col("DATETIME"), strict)
+    return readings.filter(time.isNotNull() & F.col("API").isNotNull()).select(*aq_columns(time))
 
 
 def aq_readings(readings: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from atmolake.functions.times import epoch_to_local
-from atmolake.operators import flatten, reshape
+from atmolake.operators import accounting, flatten, reshape
 from atmolake.registry import inputs
 from atmolake.registry.base import CTES, query, read
 from atmolake.session import scratch_path
@@ -111,7 +111,78 @@ def quarantined_documents(spark, sf_dir):
     """Every eleventh document is cut off in the middle."""
     half = F.expr("substr(value, 1, length(value) div 2)")
     documents = inputs.weather_documents(spark, sf_dir).withColumn("value", F.when(F.col("event_id") % 11 == 0, half).otherwise(F.col("value")))
-    return ingest.quarantined_weather(documents, "event_id").select("event_id", "reason", "station")
+    aside = ingest.quarantined_weather(documents, "event_id").filter(F.col("reason").isin("broken", "refused"))
+    return aside.select("event_id", "reason", "station")
+
+
+def oddly_landed(documents, kind: str):
+    """Documents of which some have another shape than declared, by the id of their event, and the `file` of each."""
+    id_, value = F.col("event_id"), F.col("value")
+    half = F.expr("substr(value, 1, length(value) div 2)")
+    inner = F.expr("substr(value, 2, length(value) - 2)")  # an object without its brackets
+    if kind == "aq":
+        elements = F.regexp_replace(value, r"\}\]\}$", '},7,null]}')
+        other = {0: half, 1: F.lit("[1,2]"), 2: F.lit("{}"), 3: F.lit('{"api_table_hourly":3}'), 4: F.lit('{"api_table_hourly":[]}'),
+                 5: elements, 6: F.concat(value, F.lit(" {}")), 7: F.regexp_replace(value, r'"DATETIME":"\d+-\d+', '"DATETIME":"2024-99')}
+    else:
+        elements = F.regexp_replace(value, r"\}\]\}\}$", '},5,"none"]}}')
+        other = {0: half, 1: F.lit("[1,2]"), 2: F.lit("{}"), 3: F.lit('{"S2":5}'), 4: F.lit('{"S2":{"observations":"none"}}'),
+                 5: F.concat(F.lit('{"S2":null,'), inner, F.lit("}")), 6: elements, 7: F.concat(value, value)}
+    odd = value
+    for remainder, text in other.items():
+        odd = F.when(id_ % 11 == remainder, text).otherwise(odd)
+    return documents.select(odd.alias("value"), F.concat(F.lit("file "), id_ % 3).alias("file"))
+
+
+_LEVELS = """
+SELECT source, file, level, outcome, count(*) AS parts FROM (
+  SELECT 'weather' AS source, file, 'document' AS level,
+         CASE WHEN odd IN (0, 7) THEN 'broken' WHEN odd = 1 THEN 'shape' WHEN odd = 2 THEN 'empty' ELSE 'opened' END AS outcome
+  FROM (SELECT *, 'file ' || event_id % 3 AS file, event_id % 11 AS odd FROM weather_responses)
+  UNION ALL SELECT 'weather', file, 'response', 'shape' FROM weather_odd WHERE odd IN (3, 4, 5)
+  UNION ALL SELECT 'weather', file, 'response', outcome FROM weather_odd WHERE odd IN (5, 6, 8, 9, 10)
+  UNION ALL SELECT 'weather', file, 'reading', CASE WHEN left(observed, 1) = 'X' THEN 'mismatch' ELSE 'taken' END
+            FROM (SELECT *, unnest([0, 1]) FROM weather_odd WHERE odd IN (5, 6, 8, 9, 10) AND outcome = 'opened')
+  UNION ALL SELECT 'weather', file, 'reading', 'shape' FROM (SELECT *, unnest([0, 1]) FROM weather_odd WHERE odd = 6 AND outcome = 'opened')
+  UNION ALL SELECT 'pws', file, 'document',
+         CASE WHEN odd IN (0, 7) THEN 'broken' WHEN odd = 1 THEN 'shape' WHEN odd = 2 THEN 'empty' ELSE 'opened' END FROM pws_odd
+  UNION ALL SELECT 'pws', file, 'response', 'shape' FROM pws_odd WHERE odd IN (3, 4, 5)
+  UNION ALL SELECT 'pws', file, 'response', 'opened' FROM pws_odd WHERE odd IN (5, 6, 8, 9, 10)
+  UNION ALL SELECT 'pws', 'file ' || event_id % 3, 'reading', CASE WHEN left(observed, 1) = 'X' THEN 'mismatch' ELSE 'taken' END
+            FROM pws_observations WHERE event_id % 11 IN (5, 6, 8, 9, 10)
+  UNION ALL SELECT 'pws', file, 'reading', 'shape' FROM (SELECT *, unnest([0, 1]) FROM pws_odd WHERE odd = 6)
+  UNION ALL SELECT 'aq', file, 'document',
+         CASE WHEN odd IN (0, 6) THEN 'broken' WHEN odd IN (1, 2, 3) THEN 'shape' WHEN odd = 4 THEN 'empty'
+              WHEN message THEN 'shape' ELSE 'opened' END FROM aq_odd
+  UNION ALL SELECT 'aq', file, 'reading', CASE WHEN late OR early THEN 'incomplete' WHEN odd = 7 THEN 'time' ELSE 'taken' END
+            FROM (SELECT *, unnest([0, 1]) FROM aq_odd WHERE odd IN (5, 7, 8, 9, 10) AND NOT message)
+  UNION ALL SELECT 'aq', file, 'reading', 'shape' FROM (SELECT *, unnest([0, 1]) FROM aq_odd WHERE odd = 5 AND NOT message))
+GROUP BY ALL"""
+CTES["weather_odd"] = """
+SELECT *, 'file ' || event_id % 3 AS file, event_id % 11 AS odd,
+       CASE WHEN odd_list THEN CASE WHEN accepted THEN 'opened' ELSE 'refused' END WHEN n_observations = 0 THEN 'empty'
+            WHEN accepted THEN 'opened' ELSE 'refused' END AS outcome
+FROM (SELECT *, status_code = 200 AND language = 'en-US' AND units = 'm' AS accepted, event_id % 11 = 6 AND n_observations > 0 AS odd_list
+      FROM weather_responses)"""
+CTES["pws_odd"] = "SELECT event_id, 'file ' || event_id % 3 AS file, event_id % 11 AS odd FROM events"
+CTES["aq_odd"] = """
+SELECT event_id, 'file ' || event_id % 3 AS file, event_id % 11 AS odd, event_type = 'signup' AND value > 60 AS message,
+       value > 90 AS late, value < 2 AS early FROM events"""
+
+
+@query(_LEVELS)
+def landing_accounts(spark, sf_dir):
+    """Broken documents, other shapes at every level, empty and refused ones among the good: each is counted once."""
+    sources = {
+        "weather": (inputs.weather_documents, accounting.weather_parts),
+        "pws": (inputs.pws_documents, accounting.pws_parts),
+        "aq": (inputs.aq_documents, accounting.aq_parts),
+    }
+    ledgers = []
+    for source, (documents, parts) in sources.items():
+        counts = accounting.ledger(parts(oddly_landed(documents(spark, sf_dir), source), "file"), "file")
+        ledgers.append(counts.select(F.lit(source).alias("source"), "file", "level", "outcome", "parts"))
+    return ledgers[0].unionByName(ledgers[1]).unionByName(ledgers[2])
 
 
 @query("SELECT event_id, station, station AS weather_station FROM weather_responses")

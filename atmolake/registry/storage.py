@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from atmolake.registry.base import query, read
 from atmolake.registry.core import built
 from atmolake.registry.landing import wide_readings
 from atmolake.session import scratch_path
-from atmolake.sinks import materialize, writers
+from atmolake.sinks import catalog, materialize, writers
 from atmolake.sources import csv_files, tables
 
 _ORDERS = ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderstatus"]
@@ -116,6 +117,21 @@ def replace_table(spark, sf_dir):
     return materialize.read_table(spark, path)
 
 
+@query(f"""
+SELECT 'dev' AS env, * FROM ({_ORDERS_SQL}) UNION ALL SELECT 'dev', * FROM ({_ORDERS_SQL} WHERE o_orderstatus = 'F')
+UNION ALL SELECT 'prod', o_orderkey, o_custkey, o_orderdate, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'F'""")
+def catalog_tables(spark, sf_dir):
+    """Tables by name: append twice in one environment, replace by what the table itself has in the other."""
+    catalog.ensure_environments(spark, scratch_path(spark, "catalog"))
+    name, orders = f"orders_{uuid.uuid4().hex}", orders_of(spark, sf_dir).withColumn("year", F.year("o_orderdate"))
+    for rows in (orders, orders.filter("o_orderstatus = 'F'")):
+        catalog.load(rows.hint("rebalance", "year"), "dev", name, ["year"])
+    catalog.load(orders, "prod", name)
+    catalog.load(tables.scan_table(spark, "prod", name).filter("o_orderstatus <> 'F'"), "prod", name, ["year"], append_rows=False)
+    found = [tables.scan_table(spark, env, name).select(F.lit(env).alias("env"), *_ORDERS) for env in ("dev", "prod")]
+    return found[0].unionByName(found[1])
+
+
 @query("SELECT day, count(*) AS readings FROM (SELECT CAST(ts AS DATE) AS day FROM events) GROUP BY day")
 def materialize_view(spark, sf_dir):
     days = read(spark, sf_dir, "events").select(F.to_date("ts").alias("day"))

@@ -23,28 +23,16 @@ PWS_OBSERVATION = (
     "windchillAvg: string, heatindexAvg: string, pressureMax: string, pressureMin: string, pressureTrend: string, "
     "precipRate: string, precipTotal: string>>"
 )
-RESPONSE_METADATA = "struct<status_code: int, language: string, units: string>"
-
-
-def response_map(observation: str) -> str:
-    """Schema of a landed document: requested station -> response."""
-    return (
-        f"map<string, struct<metadata: {RESPONSE_METADATA}, weather_station: string, "
-        f"observations: array<{observation}>>>"
-    )
-
-
-WEATHER_DOCUMENT = response_map(WEATHER_OBSERVATION)
-PWS_DOCUMENT = response_map(PWS_OBSERVATION)
-AQ_DOCUMENT = (
-    "struct<api_table_hourly: array<struct<STATION_ID: string, STATE_ID: int, STATION_NAME: string, "
-    "STATION_LOCATION: string, DATETIME: string, API: string>>>"
+RESPONSE_HEAD = {"metadata": "struct<status_code: int, language: string, units: string>", "weather_station": "string"}
+AQ_TABLE = "api_table_hourly"
+AQ_READING = (
+    "struct<STATION_ID: string, STATE_ID: int, STATION_NAME: string, STATION_LOCATION: string, DATETIME: string, API: string>"
 )
 MATRIX_DOCUMENT = "map<string, array<array<string>>>"
-GEOJSON_DOCUMENT = (
-    "map<string, struct<type: string, features: array<struct<id: string, "
-    "geometry: struct<type: string, coordinates: array<double>>, "
-    "properties: struct<country: string, neighborhood: string, type: string, station_name: string>>>>>"
+TILE_HEAD = {"type": "string"}
+TILE_FEATURE = (
+    "struct<id: string, geometry: struct<type: string, coordinates: array<double>>, "
+    "properties: struct<country: string, neighborhood: string, type: string, station_name: string>>"
 )
 
 # Bronze column -> field of the observation, in bronze column order. `None`: computed.

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from atmolake.sinks.writers import append_table, by_date, replace_table
+from atmolake.sources.tables import existing_table, read_table
 
 MODES = ("per_key", "per_row", "global")
 
@@ -28,21 +27,6 @@ def materialize_table(df: DataFrame, path: str, datetime: str | None = None) ->
     return read_table(df.sparkSession, path, dated.schema)
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """The table at `path`; with its schema also if it has no rows and so no files yet."""
-    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
-
-
-def existing_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at `path`, or nothing if there is none."""
-    try:
-        return read_table(spark, path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def newer_than_table(df: DataFrame, target: DataFrame, datetime: str) -> DataFrame:
     """Rows later than the latest row of the target; all rows if the target is empty.
 
