@@ -49,6 +49,18 @@ def accepted_values(df: DataFrame, column: str, accepted: list) -> DataFrame:
     return wrong.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def conflicting_dependants(df: DataFrame, keys: list[str], dependants: list[str]) -> DataFrame:
+    """Keys whose rows do not all have the same dependants: the keys, `least` and `greatest` dependants and `rows`.
+
+    Least and greatest combine on the map side, so a hot key is one row of each task. A NULL dependant is a value like
+    any other; NULL keys determine nothing and are left out.
+    """
+    values = F.struct(*dependants)
+    groups = df.dropna("any", subset=keys).groupBy(*keys)
+    ends = groups.agg(F.min(values).alias("least"), F.max(values).alias("greatest"), F.count(F.lit(1)).alias("rows"))
+    return ends.filter(~F.col("least").eqNullSafe(F.col("greatest")))
+
+
 def _line(failures: DataFrame, table: str, check: str, columns: str) -> DataFrame:
     return failures.select(
         F.lit(table).alias("table"), F.lit(check).alias("check"), F.lit(columns).alias("columns"), "failures"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from atmolake.functions.bands import aqi_band, blend, uv_band
 from atmolake.operators.lookups import lookup_left
+from atmolake.operators.quality import conflicting_dependants
 from atmolake.operators.reshape import union_all
 
 PLACE = ["place", "city", "state"]
@@ -31,6 +32,17 @@ SINGLE = [
 ]
 
 
+class PlaceConflict(ValueError):
+    """A place with more than one city or state."""
+
+
+def require_one_city(locations: DataFrame) -> None:
+    """Raise if a place has more than one city or state: the averages of `source_averages` rest on there being one."""
+    if conflicts := conflicting_dependants(locations, ["place"], ["city", "state"]).orderBy("place").limit(20).collect():
+        named = [f"{row['place']}: {tuple(row['least'])} and {tuple(row['greatest'])}" for row in conflicts]
+        raise PlaceConflict("; ".join(named))
+
+
 def full_locations(state_locations: DataFrame, city_places: DataFrame, city_states: DataFrame) -> DataFrame:
     """Locations with the city of their place and the state of their city."""
     with_city = lookup_left(state_locations, city_places, {"Place": "Place"}, ["City"])
@@ -136,7 +148,7 @@ def source_averages(weather: DataFrame, air_quality: DataFrame, personal_weather
     repeats every row of a source equally often, and repeating all rows equally often keeps an
     average. So stacking the sources and grouping once gives the same averages: one shuffle of
     map-side combined rows in place of three, and no products of rows within a busy group. It
-    needs that a place has one city and state, which the data-quality checks of the seeds ensure.
+    needs that a place has one city and state, which `require_one_city` ensures before a run.
     """
     averaged = [f"pws_{name}" for name in BLENDED] + [f"weather_{name}" for name in BLENDED] + SINGLE
     return (

@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, timedelta
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from atmolake.fixed_values import TEST_RUN_ROWS
 from atmolake.operators.lookups import broadcast_if_small
 from atmolake.operators.staging import stage_air_quality, stage_pws, stage_weather
-from atmolake.plans import core
+from atmolake.plans import checks, core
 from atmolake.schemas import SEEDS
-from atmolake.sinks.materialize import incremental_append, materialize_table, read_table
-from atmolake.sinks.writers import replace_dates
+from atmolake.sinks.materialize import incremental_append, materialize_table
+from atmolake.sinks.writers import append_table, replace_dates
 from atmolake.sources.csv_files import scan_seed
-from atmolake.sources.tables import scan_table, source
+from atmolake.sources.tables import existing_table, read_table, scan_table, source
 
 MODEL_NAMES = [
     "stg_hourly_air_quality", "stg_hourly_weather", "stg_hourly_pws_weather", "full_locations", "air_quality",
@@ -113,7 +115,14 @@ class Models:
         return core.livability_score(self.full_weather_places)
 
 
-def run(bronze: Bronze, seeds: Seeds, warehouse: str, high_mark_only: bool = False) -> dict[str, DataFrame]:
+def check_sources(lazy: Models) -> None:
+    """Stop if a declared check of the bronze tables, the seeds or the staging models does not hold."""
+    tables = {f"prod.{name}": df for name, df in vars(lazy.bronze).items() if isinstance(df, DataFrame)}
+    tables |= vars(lazy.seeds) | {name: getattr(lazy, name) for name in MODEL_NAMES if name.startswith("stg_")}
+    checks.stop_on_failure(tables, *tables)
+
+
+def run(bronze: Bronze, seeds: Seeds, warehouse: str, high_mark_only: bool = False, checked: bool = False) -> dict[str, DataFrame]:
     """Bring all models up to date below `warehouse` and return them.
 
     Locations, combined places and `uv` are rebuilt, as a late reading changes the means of an hour
@@ -122,7 +131,8 @@ def run(bronze: Bronze, seeds: Seeds, warehouse: str, high_mark_only: bool = Fal
     model recomputes the ones before it, and lost executors cost only the work in flight.
 
     A second run over the same bronze data adds nothing. `high_mark_only` takes only rows later
-    than all before, and so loses late ones.
+    than all before, and so loses late ones. A place with two cities stops the run before any average; with `checked`
+    the first table of which a declared check fails stops it too, before the models that read that table.
     """
     lazy = Models(bronze, seeds)
 
@@ -135,46 +145,111 @@ def run(bronze: Bronze, seeds: Seeds, warehouse: str, high_mark_only: bool = Fal
         mode = "global" if high_mark_only else "per_row"
         return incremental_append(getattr(lazy, name), f"{warehouse}/{name}", "datetime", mode=mode)
 
+    def check(*names: str) -> None:
+        if checked:
+            checks.stop_on_failure({name: getattr(lazy, name) for name in {*names, "full_locations"}}, *names)
+
+    if checked:
+        check_sources(lazy)
     # Each table read back takes the place of its plan, before the models after it are built.
     lazy.full_locations = rebuild("full_locations")
+    core.require_one_city(lazy.full_locations)
+    check("full_locations")
     lazy.air_quality = grow("air_quality")
     lazy.weather = grow("weather")
     lazy.personal_weather = grow("personal_weather")
+    check("air_quality", "weather")
     lazy.full_weather_places = rebuild("full_weather_places", "datetime")
+    check("full_weather_places")
     lazy.uv = rebuild("uv", "datetime")
+    check("uv", "livability_score")
     return {name: getattr(lazy, name) for name in MODEL_NAMES}
 
 
-def slice_days(bronze: Bronze, first: date, last: date) -> Bronze:
-    """Bronze rows of a closed range of local dates.
+def slice_dates(bronze: Bronze, dates: Iterable[date]) -> Bronze:
+    """Bronze rows of some local dates.
 
     Tables in folders per date are pruned by folder; the others by their time text, which sorts
     like the time and whose file statistics let the scan skip files.
     """
+    days = sorted(set(dates))
 
     def part(df: DataFrame) -> DataFrame:
         if "date" in df.columns:
-            return df.filter(F.col("date").between(F.lit(first), F.lit(last)))
-        return df.filter((F.col("datetime") >= str(first)) & (F.col("datetime") < str(last + timedelta(days=1))))
+            return df.filter(F.col("date").isin(days))
+        if not days:
+            return df.limit(0)
+        between = (F.col("datetime") >= str(days[0])) & (F.col("datetime") < str(days[-1] + timedelta(days=1)))
+        return df.filter(between & F.substring("datetime", 1, 10).isin([str(day) for day in days]))
 
     parts = (part(df) for df in (bronze.hourly_weather, bronze.hourly_pws_weather, bronze.hourly_air_quality))
     return Bronze(*parts, bronze.air_quality_rows)
 
 
-def refresh_days(bronze: Bronze, seeds: Seeds, warehouse: str, first: date, last: date) -> dict[str, DataFrame]:
-    """Recompute the dated tables for a range of dates and replace just those dates.
+DATED_MODELS = ["air_quality", "weather", "personal_weather", "full_weather_places", "uv"]
+
 
-    No model looks beyond its hour, so a range can be computed alone. The daily run: it reads one
-    day of bronze data however long the history is, takes in late and corrected readings of that
-    day, and can be repeated. A date without any reading left keeps its old rows.
+def refresh_dates(bronze: Bronze, seeds: Seeds, warehouse: str, dates: Iterable[date]) -> dict[str, DataFrame]:
+    """Recompute the dated tables for some dates and replace just those dates.
+
+    No model looks beyond its hour, so a date can be computed alone. It reads those days of bronze data and of the
+    tables before it however long the history is, takes in late and corrected readings of them, empties days whose
+    readings are all gone, and can be repeated.
     """
-    lazy = Models(slice_days(bronze, first, last), seeds)
+    days = sorted(set(dates))
+    lazy = Models(slice_dates(bronze, days), seeds)
     spark = seeds.state_locations.sparkSession
     lazy.full_locations = materialize_table(lazy.full_locations, f"{warehouse}/full_locations")
+    core.require_one_city(lazy.full_locations)
     tables = {"full_locations": lazy.full_locations}
-    for name in ("air_quality", "weather", "personal_weather", "full_weather_places", "uv"):
-        path = f"{warehouse}/{name}"
-        replace_dates(getattr(lazy, name), path)
-        tables[name] = read_table(spark, path)
-        setattr(lazy, name, tables[name].filter(F.col("date").between(F.lit(first), F.lit(last))))
+    for name in DATED_MODELS:
+        path, df = f"{warehouse}/{name}", getattr(lazy, name)
+        replace_dates(df, path, dates=days)
+        tables[name] = read_table(spark, path, StructType([*df.schema.fields, StructField("date", DateType())]))
+        setattr(lazy, name, tables[name].filter(F.col("date").isin(days)))
     return tables | {"livability_score": core.livability_score(tables["full_weather_places"])}
+
+
+def refresh_days(bronze: Bronze, seeds: Seeds, warehouse: str, first: date, last: date) -> dict[str, DataFrame]:
+    """`refresh_dates` for a closed range of dates: the daily run, or a backfill."""
+    return refresh_dates(bronze, seeds, warehouse, [first + timedelta(days=n) for n in range((last - first).days + 1)])
+
+
+# --- what new loads have touched ----------------------------------------------------------------
+
+BRONZE_TABLES = ["hourly_weather", "hourly_pws_weather", "hourly_air_quality"]
+
+
+def new_loads(spark: SparkSession, root: str, warehouse: str) -> DataFrame:
+    """`(table, load, date)` of the loads below `root`/prod that the models in `warehouse` have not taken in yet.
+
+    From the ledgers that `streaming.ingest` writes; no bronze row is read.
+    """
+    ledgers = []
+    for name in BRONZE_TABLES:
+        ledger = existing_table(spark, f"{root}/prod/{name}_loads")
+        if ledger is not None:
+            written = ledger.filter("level = 'date'").select(F.lit(name).alias("table"), "load", "date")
+            ledgers.append(written)
+    if not ledgers:
+        return spark.createDataFrame([], "table string, load string, date date")
+    loads = reduce(DataFrame.unionByName, ledgers)
+    taken = existing_table(spark, f"{warehouse}/taken_loads")
+    return loads if taken is None else loads.join(taken.select("table", "load"), ["table", "load"], "left_anti")
+
+
+def run_new_loads(spark: SparkSession, root: str, seeds: Seeds, warehouse: str) -> dict[str, DataFrame] | None:
+    """Bring the dated models up to date with the loads since the last call; None if there are none.
+
+    The touched dates, as many as calendar days at most, go into every scan as partition filters, so a load of one day
+    reads one day of every table. The loads are marked as taken in last: if the run fails, the next one takes them
+    again, which replaces the same dates.
+    """
+    loads = new_loads(spark, root, warehouse).distinct().collect()
+    if not loads:
+        return None
+    dates = {row["date"] for row in loads if row["date"] is not None}
+    tables = refresh_dates(Bronze.read(spark, root), seeds, warehouse, dates)
+    taken = sorted({(row["table"], row["load"]) for row in loads})
+    append_table(spark.createDataFrame(taken, "table string, load string").coalesce(1), f"{warehouse}/taken_loads")
+    return tables

@@ -8,10 +8,15 @@ from pyspark.sql import functions as F
 
 from atmolake.fixed_values import ACCEPTED_LABELS, ACCEPTED_POLLUTANTS
 from atmolake.operators import aggregates, calendar, lookups, quality
+from atmolake.plans import checks
+from atmolake.plans.checks import DECLARED
+from atmolake.plans.models import BRONZE_TABLES, MODEL_NAMES
 from atmolake.registry import inputs
 from atmolake.registry.base import CTES, query, read
 from atmolake.registry.core import built
 from atmolake.registry.landing import wide_readings
+from atmolake.session import scratch_path
+from atmolake.sinks.materialize import materialize_table
 
 # --- gaps and matches ---------------------------------------------------------------------------
 
@@ -274,3 +279,84 @@ def dq_report(spark, sf_dir):
             quality.report_accepted_values("air_quality", m.air_quality, "label", labels),
         ]
     )
+
+
+CTES["placed_customers"] = """
+SELECT CASE WHEN c_acctbal < 9990 THEN 'Place ' || c_nationkey END AS place,
+       CASE WHEN c_acctbal < -990 THEN NULL WHEN c_acctbal > 9900 AND c_nationkey % 3 = 0 THEN 'elsewhere'
+            ELSE 'City ' || c_nationkey END AS city FROM customer"""
+
+
+@query("""
+SELECT place, count(*) AS rows, min(city) AS least_city, max(city) AS greatest_city FROM placed_customers WHERE place IS NOT NULL
+GROUP BY place HAVING min(city) <> max(city) OR count(city) NOT IN (0, count(*))""")
+def place_determines_city(spark, sf_dir):
+    """Customers as places of cities; some places have a customer who names another city, some one who names none."""
+    nation, balance = F.col("c_nationkey"), F.col("c_acctbal")
+    place = F.when(balance < 9990, F.concat(F.lit("Place "), nation))
+    city = F.when(balance < -990, None).when((balance > 9900) & (nation % 3 == 0), "elsewhere").otherwise(F.concat(F.lit("City "), nation))
+    customers = read(spark, sf_dir, "customer").select(place.alias("place"), city.alias("city"))
+    conflicts = quality.conflicting_dependants(customers, ["place"], ["city"])
+    # NULL is the least of all values; the SQL passes it over.
+    named = customers.filter("city IS NOT NULL").groupBy("place").agg(F.min("city").alias("least_city"), F.max("city").alias("greatest_city"))
+    return conflicts.select("place", "rows").join(named, "place", "left")
+
+
+# --- the declared checks ------------------------------------------------------------------------
+
+#: The SQL of each table that has declared checks.
+_CHECKED = {
+    "dev.hourly_air_quality": "hourly_air_quality",
+    "dev.hourly_weather": "hourly_weather",
+    "dev.hourly_pws_weather": "hourly_pws_weather",
+    "prod.hourly_air_quality": "hourly_air_quality",
+    "prod.hourly_pws_weather": "hourly_pws_weather",
+    "city_states": "city_states",
+    "city_places": "city_places",
+    "state_locations": "state_locations",
+    "air_quality_warning": "warnings",
+    "stg_hourly_air_quality": "stg_air_quality_rows",
+    "stg_hourly_weather": "stg_weather_rows",
+    "stg_hourly_pws_weather": "stg_pws_rows",
+    "full_locations": "locations",
+    "air_quality": "air_quality_rows",
+    "weather": "weather_rows",
+    "full_weather_places": "places",
+    "uv": "uv_rows",
+    "livability_score": "livability_rows",
+}
+
+
+def _check_sql() -> str:
+    lines = []
+
+    def line(table: str, kind: str, columns: str, count: str) -> None:
+        lines.append(f"SELECT '{table}' AS \"table\", '{kind}' AS \"check\", '{columns}' AS columns, CAST(({count}) AS BIGINT) AS failures")
+
+    for table, declared in DECLARED.items():
+        rows = _CHECKED[table]
+        for column in declared.not_null:
+            line(table, "not_null", column, f"SELECT count(*) FROM {rows} WHERE {column} IS NULL")
+        for column, values in declared.accepted.items():
+            listed = ", ".join(f"'{value}'" for value in values)
+            line(table, "accepted_values", column, f"SELECT count(DISTINCT {column}) FROM {rows} WHERE {column} NOT IN ({listed})")
+        for column in declared.unique:
+            line(table, "unique", column, f"SELECT count(*) FROM (SELECT 1 FROM {rows} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1)")
+        for column, (parent, key) in declared.has_parent.items():
+            known = f"SELECT {key} FROM {_CHECKED[parent]} WHERE {key} IS NOT NULL"
+            line(table, "relationships", column, f"SELECT count(*) FROM {rows} WHERE {column} NOT IN ({known})")
+        if declared.unique_together:
+            keys = ", ".join(declared.unique_together)
+            count = f"SELECT count(*) FROM (SELECT 1 FROM {rows} GROUP BY {keys} HAVING count(*) > 1)"
+            line(table, "unique_combination", "+".join(declared.unique_together), count)
+    return "\nUNION ALL ".join(lines)
+
+
+@query(_check_sql())
+def dq_declared(spark, sf_dir):
+    """All declared checks of all tables, over models that were written once."""
+    models, warehouse = built(spark, sf_dir), scratch_path(spark, "checked")
+    for name in MODEL_NAMES:  # each model reads those before it from their files
+        setattr(models, name, materialize_table(getattr(models, name), f"{warehouse}/{name}"))
+    sources = {f"{env}.{name}": getattr(models.bronze, name) for env in ("dev", "prod") for name in BRONZE_TABLES}
+    return checks.report({**sources, **vars(models.seeds), **{name: getattr(models, name) for name in MODEL_NAMES}})

@@ -220,12 +220,11 @@ def scan_pws_json(spark: SparkSession, path: str | list[str], whole_file: bool =
 
 
 def scan_pws_pressure(
-    spark: SparkSession, glob: str | list[str], tz: str | None = None, whole_file: bool = False
+    spark: SparkSession, glob: str | list[str], tz: str | None = None, whole_file: bool = False, keep_file: bool = False
 ) -> DataFrame:
-    """`(datetime, weather_station, pressure)` of many files; means are rounded to three places."""
-    observation = (
-        scan_pws_json(spark, glob, whole_file).select(F.explode("observations").alias("obs")).select("obs.*")
-    )
+    """`(datetime, weather_station, pressure)` of many files; means are rounded to three places. `file` on request."""
+    documents = read_documents(spark, glob, whole_file).select("value", F.col("_metadata.file_path").alias("file"))
+    observation = parse_pws(documents, "file").select("file", F.explode("observations").alias("obs")).filter("obs IS NOT NULL").select("file", "obs.*")
     local = epoch_to_local(F.col("epoch"), tz) if tz else epoch_to_local(F.col("epoch"))
     return observation.select(
         local.alias("datetime"),
@@ -233,6 +232,7 @@ def scan_pws_pressure(
         pws_pressure(
             safe_double(F.col("metric.pressureMax")), safe_double(F.col("metric.pressureMin")), places=3
         ).alias("pressure"),
+        *(["file"] if keep_file else []),
     )
 
 
