@@ -61,14 +61,18 @@ def stamp_station(responses: DataFrame) -> DataFrame:
     return responses.withColumn("weather_station", F.col("station"))
 
 
-def merge_last_wins(responses: DataFrame, key: str, order_by: list[str]) -> DataFrame:
-    """One response per key, the last one by `order_by`, which must be a total order.
+def merge_last_wins(responses: DataFrame, key: str, order_by: list[str], narrow: DataFrame | None = None) -> DataFrame:
+    """One response per key, the last one by `order_by`, which must be a total order within a key.
 
-    max_by combines on the map side: each task sends one response per key, however hot the key.
+    Which one is last is found on the key and the order alone, combined on the map side: each task sends one short row
+    per key, however hot the key. The responses then meet their last orders; a key and an order are one row, so a hot
+    key spreads over the tasks. `narrow` has the key and the order of every response; it is cheaper where the responses
+    are parsed for their payload only (`sources.landing.response_names`).
     """
-    payload = F.struct(*[F.col(name) for name in responses.columns if name != key])
-    last = responses.groupBy(key).agg(F.max_by(payload, F.struct(*order_by)).alias("last"))
-    return last.select(key, "last.*")
+    order = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)
+    last = (responses if narrow is None else narrow).groupBy(F.col(key).alias("_last_key")).agg(F.max(order).alias("_last_order"))
+    is_last = F.col(key).eqNullSafe(F.col("_last_key")) & order.eqNullSafe(F.col("_last_order"))
+    return responses.join(last, is_last, "left_semi").select(key, *[name for name in responses.columns if name != key])
 
 
 def requested_stations(requested: DataFrame, responses: DataFrame, station: str = "station") -> DataFrame:

@@ -18,14 +18,21 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
+# What a value takes beside its text: its place in the row, and its share of the row and of the hash table.
+FIELD_BYTES = 24
+
+
 def broadcast_if_small(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark a dimension for broadcast if its rows, measured as JSON text, stay below `max_bytes`.
+    """Mark a dimension for broadcast if its rows stay below `max_bytes`: the lengths of all values as text, and
+    FIELD_BYTES for each field of each row, also for the NULL ones.
 
     Catalyst guesses the size of a joined dimension as the product of its inputs and so would
     shuffle the whole fact table for a dimension of a few thousand rows. Runs one aggregation
     over the dimension; a bigger one is returned as it is, for a shuffled join.
     """
-    size = dim.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
+    texts = [F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{name}`")))), F.lit(0)) for name in dim.columns]
+    row = sum(texts, F.lit(FIELD_BYTES * len(dim.columns))).cast("long")
+    size = dim.agg(F.sum(row)).first()[0]
     return F.broadcast(dim) if size is None or size <= max_bytes else dim
 
 

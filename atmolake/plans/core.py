@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atmolake.functions.bands import aqi_band, blend, uv_band
@@ -168,6 +168,11 @@ def full_weather_places(weather: DataFrame, air_quality: DataFrame, personal_wea
     )
 
 
+def coalesced_keys(keys: list[str], tags: tuple[str, ...] = ("w", "a", "p")) -> list[Column]:
+    """Each key from the first source that has it, in the order weather, air quality, personal."""
+    return [F.coalesce(*[f"{tag}_{key}" for tag in tags]).alias(key) for key in keys]
+
+
 def full_join_sources(weather: DataFrame, air_quality: DataFrame, personal_weather: DataFrame) -> DataFrame:
     """The same averages by full joins, as a cross-check of `source_averages`.
 
@@ -195,9 +200,8 @@ def full_join_sources(weather: DataFrame, air_quality: DataFrame, personal_weath
     # in the task of the NULL key.
     linked = a.join(w, same_wa, "left").join(p, same_pa, "full")
     joined = linked.unionByName(w.join(a, same_wa, "left_anti"), allowMissingColumns=True)
-    keys = [F.coalesce(f"w_{key}", f"a_{key}", f"p_{key}").alias(key) for key in PLACE_HOUR]
     measures = [name for name in (*w.columns, *a.columns, *p.columns) if name[:2] not in ("w_", "a_", "p_")]
-    return joined.select(*keys, *measures).groupBy(*PLACE_HOUR).agg(*[F.avg(name).alias(name) for name in measures])
+    return joined.select(*coalesced_keys(PLACE_HOUR), *measures).groupBy(*PLACE_HOUR).agg(*[F.avg(name).alias(name) for name in measures])
 
 
 def uv(places: DataFrame, uv_info: DataFrame) -> DataFrame:

@@ -143,7 +143,7 @@ def run(bronze: Bronze, seeds: Seeds, warehouse: str, high_mark_only: bool = Fal
     # place), so what is new is told row by row.
     def grow(name: str) -> DataFrame:
         mode = "global" if high_mark_only else "per_row"
-        return incremental_append(getattr(lazy, name), f"{warehouse}/{name}", "datetime", mode=mode)
+        return incremental_append(getattr(lazy, name), f"{warehouse}/{name}", "datetime", mode=mode, reach=False)
 
     def check(*names: str) -> None:
         if checked:

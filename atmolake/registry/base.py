@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from atmolake.session import tune
+from atmolake.session import tuned_for
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,7 +19,8 @@ def query(sql: str, *names: str):
 
     def register(function):
         def tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return function(tune(spark), sf_dir)
+            with tuned_for(spark):
+                return function(spark, sf_dir)
 
         for name in names or (function.__name__,):
             if name in QUERIES:

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from atmolake.functions.bands import aqi_band as aqi_label
 from atmolake.functions.bands import blend
 from atmolake.functions.bands import uv_band as uv_label
 from atmolake.operators.lookups import lookup_left
-from atmolake.plans import core
+from atmolake.plans import core, marts
 from atmolake.plans.models import Models
 from atmolake.registry import inputs
 from atmolake.registry.base import CTES, query, read
+from atmolake.session import scratch_path
+from atmolake.sinks import catalog
 
 # The SQL of the models, put together from lists of their columns.
 
@@ -229,3 +233,38 @@ def full_outer_join_3way(spark, sf_dir):
     m = built(spark, sf_dir)
     joined = core.full_join_sources(m.weather, m.air_quality, m.personal_weather)
     return rounded(joined, _AVERAGES).select("datetime", "place", "city", "state", *_AVERAGES)
+
+
+@query(f"SELECT datetime, place, city, state, {rounded_sql(_AVERAGES)} FROM joined_averages")
+def bucketed_marts(spark, sf_dir):
+    """The sources as tables in the same buckets of hour and place, which meet without a shuffle."""
+    catalog.ensure_environments(spark, scratch_path(spark, "marts"))
+    weather, air, personal = marts.write_marts(built(spark, sf_dir), "dev", 8, f"marts_{uuid.uuid4().hex}_")
+    joined = core.full_join_sources(weather, air, personal)
+    return rounded(joined, _AVERAGES).select("datetime", "place", "city", "state", *_AVERAGES)
+
+
+@query("""
+SELECT event_id, CASE WHEN w THEN 'w ' || user_id WHEN a THEN 'a ' || user_id WHEN p THEN 'p ' || user_id END AS place,
+       CASE WHEN w AND value < 20 THEN CASE WHEN a THEN event_id + 1 WHEN p THEN event_id + 2 END WHEN w THEN event_id
+            WHEN a THEN event_id + 1 WHEN p THEN event_id + 2 END AS hour
+FROM (SELECT *, event_type IN ('click', 'view', 'error') AS w, event_type IN ('view', 'error', 'purchase') AS a,
+             event_type IN ('error', 'purchase', 'signup') OR value > 70 AS p FROM events)""")
+def coalesce_join_keys(spark, sf_dir):
+    """Rows with keys of one, two and three sources, some with one key column of a source missing: weather comes before air
+    quality, that before personal stations, each column by itself."""
+    kind = F.col("event_type")
+    given = {
+        "w": kind.isin("click", "view", "error"),
+        "a": kind.isin("view", "error", "purchase"),
+        "p": kind.isin("error", "purchase", "signup") | (F.col("value") > 70),
+    }
+    columns = []
+    for shift, (tag, is_given) in enumerate(given.items()):
+        has_hour = is_given & (F.col("value") >= 20) if tag == "w" else is_given
+        columns += [
+            F.when(has_hour, F.col("event_id") + shift).alias(f"{tag}_hour"),
+            F.when(is_given, F.concat(F.lit(f"{tag} "), "user_id")).alias(f"{tag}_place"),
+        ]
+    joined = read(spark, sf_dir, "events").select("event_id", *columns)
+    return joined.select("event_id", *core.coalesced_keys(["hour", "place"]))

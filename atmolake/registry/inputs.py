@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from atmolake.plans.models import Bronze, Seeds
 from atmolake.registry.base import CTES, read
-from atmolake.schemas import BRONZE_PWS, BRONZE_WEATHER
+from atmolake.schemas import BRONZE_PWS, BRONZE_WEATHER, PWS_OBSERVATION, WEATHER_OBSERVATION
 
 DENIED = ["ISELAN1", "ISELANGO11", "ISELANGO6", "IPETAL1", "IPEKAN1"]
 SYMBOLS = ["**", "*", "a", "&", ""]
@@ -507,3 +508,62 @@ def tile_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     tile = F.struct(F.lit("FeatureCollection").alias("type"), F.array(feature).alias("features"))
     return read(spark, sf_dir, "orders").select("o_orderkey", F.to_json(F.create_map(F.lit("tile"), tile)).alias("value"))
+
+
+# --- documents in which every declared field is filled -------------------------------------------
+
+
+def _filled(field: str, kind: str, given: dict[str, Column]) -> Column:
+    """A value of its own for a declared field: the given one, or its name and the number of the event."""
+    if field in given:
+        return given[field].alias(field)
+    number = F.col("event_id") % 1000
+    if kind == "string":
+        return F.concat(F.lit(f"{field} "), number).alias(field)
+    return (number + len(field)).cast("double" if kind == "double" else kind).alias(field)
+
+
+def _fields(struct: str) -> dict[str, str]:
+    """Fields of a declared struct and their types, as text."""
+    return {field.name: field.dataType.simpleString() for field in StructType.fromDDL(struct.removeprefix("struct<").removesuffix(">"))}
+
+
+def full_weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per event whose observation has all fields of the declared schema."""
+    given = {"obs_id": F.col("station"), "key": F.lit("other"), "valid_time_gmt": F.col("epoch"), "expire_time_gmt": F.col("epoch") + 3600}
+    observation = F.struct(*[_filled(field, kind, given) for field, kind in _fields(WEATHER_OBSERVATION).items()])
+    metadata = F.struct(F.lit(200).alias("status_code"), F.lit("en-US").alias("language"), F.lit("m").alias("units"))
+    response = F.struct(metadata.alias("metadata"), F.array(observation).alias("observations"))
+    document = F.to_json(F.create_map(F.concat("station", F.lit(":9:MY")), response))
+    return _event(spark, sf_dir).select("event_id", document.alias("value"))
+
+
+def full_pws_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per event whose observation of a personal station has all declared fields."""
+    fields = _fields(PWS_OBSERVATION)
+    pressures = {"pressureMax": F.col("event_id") % 50 + 1001, "pressureMin": F.col("event_id") % 50 + 1000}
+    metric = F.struct(*[_filled(field, kind, pressures) for field, kind in _fields(fields["metric"]).items()])
+    given = {"stationID": F.col("station"), "epoch": F.col("epoch"), "metric": metric}
+    observation = F.struct(*[_filled(field, kind, given) for field, kind in fields.items()])
+    document = F.to_json(F.create_map("station", F.struct(F.array(observation).alias("observations"))))
+    return _event(spark, sf_dir).select("event_id", document.alias("value"))
+
+
+def landed_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per customer up to five landed files of the same day, of which some have their header in the wrong order."""
+    from atmolake.fixed_values import MATRIX_HEADER
+
+    header = F.array(*[F.lit(label) for label in MATRIX_HEADER])
+    landed = F.explode(F.array(*[F.lit(time) for time in LANDED_TIMES])).alias("landed_time")
+    files = read(spark, sf_dir, "customer").select("c_custkey", landed)
+    place = F.array_position(F.array(*[F.lit(time) for time in LANDED_TIMES]), F.col("landed_time")).cast("int")
+    # Bit i of the customer's number tells whether its i-th file is there, bit i + 5 whether its header is right.
+    files = files.withColumn("place", place).filter(F.expr("(c_custkey >> (place - 1)) & 1 = 1"))
+    right = F.expr("(c_custkey >> (place + 4)) & 1 = 0")
+    row = F.array(F.lit("State"), F.concat(F.lit("L"), "c_custkey"), *[F.col("landed_time")] * 24)
+    matrix = F.array(F.when(right, header).otherwise(F.reverse(header)), row)
+    return files.select("c_custkey", "landed_time", F.to_json(F.create_map(F.lit("24hour_api"), matrix)).alias("value"))
+
+
+#: Landing times of matrix files; the one at noon is what is asked for.
+LANDED_TIMES = ["0100", "1200", "0700", "0000", "2300"]

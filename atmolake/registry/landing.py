@@ -218,10 +218,11 @@ def station_count(spark, sf_dir):
 SELECT station, event_id, CAST(n_observations AS INTEGER) AS n_observations, language FROM weather_responses
 QUALIFY row_number() OVER (PARTITION BY station ORDER BY event_id DESC) = 1""")
 def merge_responses_last_wins(spark, sf_dir):
-    responses = landing.parse_weather(inputs.weather_documents(spark, sf_dir), "event_id").select(
+    documents = inputs.weather_documents(spark, sf_dir)
+    responses = landing.parse_weather(documents, "event_id").select(
         "event_id", "station", F.size("observations").alias("n_observations"), F.col("metadata.language").alias("language")
     )
-    return flatten.merge_last_wins(responses, "station", ["event_id"])
+    return flatten.merge_last_wins(responses, "station", ["event_id"], landing.response_names(documents, "event_id"))
 
 
 @query("""
@@ -281,6 +282,65 @@ def flatten_pws(spark, sf_dir):
     )
 
 
+# The bronze columns of an observation and the field that each one is taken from.
+_WEATHER_FIELDS = {
+    "blunt_phrase": "blunt_phrase", "class": "class", "clouds": "clds", "day_indicator": "day_ind", "dew_point": "dewPt",
+    "feels_like_temperature": "feels_like", "gust": "gust", "heat_index": "heat_index", "icon_extended": "icon_extd",
+    "max_temperature": "max_temp", "min_temperature": "min_temp", "observation_place": "obs_name", "precipitation_hourly": "precip_hrly",
+    "precipitation_total": "precip_total", "pressure": "pressure", "pressure_desc": "pressure_desc", "pressure_tend": "pressure_tend",
+    "qualifier": "qualifier", "qualifier_severity": "qualifier_svrty", "relative_humidity": "rh", "temperature": "temp",
+    "terse_phrase": "terse_phrase", "uv_description": "uv_desc", "uv_index": "uv_index", "visibility": "vis",
+    "water_temperature": "water_temp", "weather_phrase": "wx_phrase", "wind_chill": "wc", "wind_direction_deg": "wdir",
+    "wind_direction_dir": "wdir_cardinal", "wind_speed": "wspd", "wx_icon": "wx_icon",
+}
+_PWS_FIELDS = {
+    "dew_point": "dewptAvg", "gust": "windgustAvg", "heat_index": "heatindexAvg", "humidity": "humidityAvg", "lat": "lat", "lon": "lon",
+    "obsTimeLocal": "obsTimeLocal", "obsTimeUtc": "obsTimeUtc", "precipitation_rate": "precipRate", "precipitation_total": "precipTotal",
+    "pressure_trend": "pressureTrend", "qc_status": "qcStatus", "solar_radiation_high": "solarRadiationHigh", "temperature": "tempAvg",
+    "uv": "uvHigh", "wind_chill": "windchillAvg", "wind_direction": "winddirAvg", "wind_speed": "windspeedAvg",
+}
+
+
+def _filled_sql(fields: dict[str, str]) -> str:
+    return ", ".join(f"'{field} ' || event_id % 1000 AS \"{column}\"" for column, field in fields.items())
+
+
+_LOCAL_HOUR = "date_trunc('hour', ts) + INTERVAL 8 HOUR"
+
+
+@query(f"""
+SELECT strftime({_LOCAL_HOUR}, '%Y-%m-%d %H:%M:%S') AS datetime, strftime({_LOCAL_HOUR} + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS expire_time_gmt,
+       'U' || user_id AS weather_station, {_filled_sql(_WEATHER_FIELDS)} FROM events""")
+def flatten_weather_columns(spark, sf_dir):
+    """All 35 bronze columns, each from a field with values of its own."""
+    accepted, _ = flatten.split_responses(landing.parse_weather(inputs.full_weather_documents(spark, sf_dir)))
+    return flatten.flatten_weather(accepted)[0]
+
+
+@query(f"""
+SELECT strftime({_LOCAL_HOUR}, '%Y-%m-%d %H:%M:%S') AS datetime, 'U' || user_id AS weather_station,
+       event_id % 50 + 1000 || '.5' AS pressure, {_filled_sql(_PWS_FIELDS)} FROM events""")
+def flatten_pws_columns(spark, sf_dir):
+    """All 21 bronze columns of personal stations."""
+    responses = flatten.split_pws_responses(landing.parse_pws(inputs.full_pws_documents(spark, sf_dir)))
+    return flatten.flatten_pws(responses)[0]
+
+
+@query("""
+WITH files AS (
+  SELECT c_custkey, time AS landed_time, (c_custkey >> (place + 4)) & 1 = 0 AS valid, rank
+  FROM customer, (VALUES ('0100', 1, 3), ('1200', 2, 0), ('0700', 3, NULL), ('0000', 4, 2), ('2300', 5, 1)) AS t(time, place, rank)
+  WHERE (c_custkey >> (place - 1)) & 1 = 1)
+SELECT c_custkey, arg_min(landed_time, rank) FILTER (valid AND rank IS NOT NULL) AS landed_time FROM files GROUP BY c_custkey""")
+def header_order_choice(spark, sf_dir):
+    """Of several landed matrices the one asked for, then those of 23:00, 00:00 and 01:00, if the header is right."""
+    matrices = landing.parse_aq_matrix(inputs.landed_matrices(spark, sf_dir), "c_custkey", "landed_time")
+    chosen, none_valid = reshape.choose_valid_matrix(matrices.withColumn("requested", F.lit("1200")), ["c_custkey"], "requested", "landed_time")
+    # The cells tell which file the rows are from.
+    found = chosen.select("c_custkey", F.get(F.get("rows", F.lit(0)), F.lit(2)).alias("landed_time"))
+    return found.unionByName(none_valid.withColumn("landed_time", F.lit(None).cast("string")))
+
+
 @query("""
 SELECT split_part(station_location, ',', 1) AS location, strftime(datetime, '%Y-%m-%d %H:%M:%S') AS datetime,
        CAST(api AS VARCHAR) AS value

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import functools
 import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -36,6 +38,20 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextlib.contextmanager
+def tuned_for(spark: SparkSession) -> Iterator[SparkSession]:
+    """The runtime settings for a while; afterwards the session has its own again.
+
+    Time zone and ANSI mode are taken into a plan when it is built, so a DataFrame that is built inside keeps them.
+    """
+    before = {key: spark.conf.get(key, None) for key in RUNTIME_SETTINGS}
+    try:
+        yield tune(spark)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def local_session(cores: int | str = "*", memory: str = "8g", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and the bench; on a cluster use its own session and `tune` it."""
     builder = (

@@ -8,6 +8,7 @@ file. So readers have either the old rows or the new ones, and if the writer fai
 from __future__ import annotations
 
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,13 @@ from atmolake.sinks.writers import _writer
 from atmolake.sources.tables import ENVIRONMENTS
 
 
+class Buckets(NamedTuple):
+    """Rows are dealt to so many files by the hash of some columns, so that joins and groupings on them need no shuffle."""
+
+    number: int
+    columns: list[str]
+
+
 def _named(env: str, table: str) -> str:
     if env not in ENVIRONMENTS:
         raise ValueError(f"environment must be one of {ENVIRONMENTS}, not {env!r}")
@@ -24,11 +32,16 @@ def _named(env: str, table: str) -> str:
     return f"{env}.{table}"
 
 
-def _create(df: DataFrame, env: str, table: str, folder: str, partition_by: list[str] | None) -> None:
+def _create(df: DataFrame, env: str, table: str, folder: str, partition_by: list[str] | None, buckets: Buckets | None = None) -> None:
     spark = df.sparkSession
     location = f"{spark.catalog.getDatabase(env).locationUri}/{folder}/{uuid.uuid4().hex}"
     try:
-        _writer(df, "errorifexists", partition_by).format("parquet").option("path", location).saveAsTable(f"{env}.{table}")
+        if buckets:  # each bucket is one file, written by one task
+            df = df.repartition(buckets.number, *buckets.columns)
+        writer = _writer(df, "errorifexists", partition_by)
+        if buckets:
+            writer = writer.bucketBy(buckets.number, *buckets.columns).sortBy(*buckets.columns)
+        writer.format("parquet").option("path", location).saveAsTable(f"{env}.{table}")
     except BaseException:
         spark.sql(f"DROP TABLE IF EXISTS {env}.{table}")
         folders.remove(spark, location)
@@ -51,11 +64,11 @@ def append(df: DataFrame, env: str, table: str, partition_by: list[str] | None =
         _create(df, env, table, table, partition_by)
 
 
-def replace(df: DataFrame, env: str, table: str, partition_by: list[str] | None = None) -> None:
-    """Replace the whole table, columns and partitioning too. `df` may read from it."""
+def replace(df: DataFrame, env: str, table: str, partition_by: list[str] | None = None, buckets: Buckets | None = None) -> None:
+    """Replace the whole table, columns, partitioning and buckets too. `df` may read from it."""
     spark, name = df.sparkSession, _named(env, table)
     new, old = f"{table}_new_{uuid.uuid4().hex}", f"{table}_old_{uuid.uuid4().hex}"
-    _create(df, env, new, table, partition_by)
+    _create(df, env, new, table, partition_by, buckets)
     there = spark.catalog.tableExists(name)
     if there:
         location = spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first()["data_type"]

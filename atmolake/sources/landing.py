@@ -203,6 +203,12 @@ def parse_responses(documents: DataFrame, kind: str, *keep: str) -> DataFrame:
     return read_maps(documents, RESPONSES[kind], *keep).select(*keep, F.col("name").alias("station"), "body.*")
 
 
+def response_names(documents: DataFrame, *keep: str) -> DataFrame:
+    """`keep` and the `station` of every response that `parse_responses` gives, without parsing what is in it."""
+    objects = F.map_filter(F.from_json("value", "map<string, string>"), lambda name, text: _is_object(text))
+    return documents.select(*keep, F.explode(F.map_keys(objects)).alias("station"))
+
+
 def parse_weather(documents: DataFrame, *keep: str) -> DataFrame:
     return parse_responses(documents, "weather", *keep)
 

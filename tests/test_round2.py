@@ -1,12 +1,16 @@
-"""Cases that earlier tests left open: late UV values, distinct test runs, hot keys on the right, empty sources."""
+"""Cases that earlier tests left open: distinct test runs, hot keys on the right, empty sources, sizes, settings, marts."""
 
 from __future__ import annotations
 
 import re
 
+import pytest
+
 from atmolake.operators import lookups
 from atmolake.operators.staging import stage_air_quality
-from atmolake.plans import core
+from atmolake.plans import core, marts
+from atmolake.registry import inputs, queries
+from atmolake.sinks import catalog
 from atmolake.sinks.materialize import incremental_append, materialize_table
 from tests.conftest import rows
 
@@ -52,3 +56,44 @@ def test_tables_of_empty_sources_can_be_read(spark, tmp_path):
     assert materialize_table(empty, str(tmp_path / "b"), "datetime").columns == ["datetime", "place", "date"]
     assert rows(incremental_append(empty, str(tmp_path / "c"), keys=["place"])) == []
     assert rows(incremental_append(empty, str(tmp_path / "c"), keys=["place"])) == []
+
+
+def test_sparse_rows_count_in_full_before_a_broadcast(spark):
+    sparse = spark.range(1000).selectExpr("id", *[f"CAST(NULL AS string) AS c{i}" for i in range(40)])
+    hinted = lambda limit: "broadcast" in lookups.broadcast_if_small(sparse, limit)._jdf.queryExecution().logical().toString().lower()
+    assert hinted(1000 * 41 * (lookups.FIELD_BYTES + 20)) and not hinted(1000 * 41 * lookups.FIELD_BYTES)
+
+
+@pytest.mark.parametrize("name", ["scan_weather_json", "weather"])
+def test_a_query_leaves_the_settings_of_the_session(spark, name):
+    before = {key: spark.conf.get(key) for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")}
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        there = queries()[name](spark, "/root/testdata/sf0.001")
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo" and spark.conf.get("spark.sql.ansi.enabled") == "false"
+        elsewhere = rows(there)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert elsewhere == rows(queries()[name](spark, "/root/testdata/sf0.001"))
+
+
+def test_marts_meet_without_a_shuffle(spark, tmp_path):
+    """No exchange below the joins: the only one is that of the last grouping."""
+    from atmolake.plans.models import Models
+
+    catalog.ensure_environments(spark, str(tmp_path))
+    models = Models(inputs.bronze(spark, "/root/testdata/sf0.001"), inputs.seeds(spark, "/root/testdata/sf0.001"))
+    written = marts.write_marts(models, "dev", 4, "test_marts_")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = core.full_join_sources(*written)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Exchange" in plan[: plan.index("Join")] and plan.count("SortMergeJoin") == 3
+        assert joined.count() == core.full_join_sources(models.weather, models.air_quality, models.personal_weather).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for name in marts.SOURCES:
+            spark.sql(f"DROP TABLE dev.test_marts_{name}")

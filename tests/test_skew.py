@@ -83,6 +83,10 @@ def test_shuffled_lookup_splits_a_hot_station(spark, readings):
 def test_last_response_of_a_hot_station(readings):
     last = flatten.merge_last_wins(readings, "station", ["id"])
     assert last.filter("station = 'hot'").first().id == ROWS // 3 - 1
+    # The payload is in no aggregation.
+    payload = flatten.merge_last_wins(readings.withColumn("payload", F.repeat("station", 9)), "station", ["id"])
+    plan = payload._jdf.queryExecution().executedPlan().toString()
+    assert "payload" in plan and not any("payload" in line for line in plan.splitlines() if "Aggregate" in line or "partial_max" in line)
 
 
 def test_busy_hour_does_not_multiply(spark):
