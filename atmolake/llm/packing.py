@@ -11,6 +11,8 @@ is never forced: slack stays as padding.
 
 from __future__ import annotations
 
+import functools
+import struct
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -161,11 +163,12 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
+@functools.lru_cache(2)
 def byte_bpe(path: str) -> Callable[[str], bytes]:
     """Ids of a byte-level BPE file of the tokenizers library; texts of special tokens are ordinary texts.
 
     The library splits a text before its merges; a part's ids depend on the part alone and are kept in a bounded
-    cache. Texts with characters for which tables of letters may differ go to the library whole.
+    cache, which a process keeps from task to task. Texts with characters for which tables of letters may differ go to the library whole.
     """
     from tokenizers import Tokenizer
 
@@ -173,7 +176,8 @@ def byte_bpe(path: str) -> Callable[[str], bytes]:
     tokenizer.encode_special_tokens = True
 
     def direct(text: str) -> bytes:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     known = Memo(direct, 700_000)
 
