@@ -18,6 +18,7 @@ import base64
 import functools
 import gc
 import hashlib
+import struct
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -237,7 +238,11 @@ class Codec:
         self.transducer = Transducer(read_ranks(path))
         self.decoder = Decoder(self.transducer.bytes_of)
         self.parts = regex.compile(PATTERN).findall
-        self.known = Memo(lambda part: np.array(self.transducer.encode(part.encode("utf-8", "surrogatepass")), "<u4").tobytes())
+        self.known = Memo(self._part, 700_000)
+
+    def _part(self, part: str) -> bytes:
+        ids = self.transducer.encode(part.encode("utf-8", "surrogatepass"))
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -249,7 +254,13 @@ class Codec:
         return self.decoder.decode(np.frombuffer(ids, "<u4").tolist())
 
 
-def coded(docs: DataFrame, path: str, make: Callable[[str], Codec] = Codec, with_ids: bool = True) -> DataFrame:
+@functools.lru_cache(2)
+def codec_of(path: str) -> Codec:
+    """The codec of a process: what it has met stays known from task to task, up to its bounds."""
+    return Codec(path)
+
+
+def coded(docs: DataFrame, path: str, make: Callable[[str], Codec] = codec_of, with_ids: bool = True) -> DataFrame:
     """doc_id, ids, decoded and digests of both for every row of docs (doc_id, text); without the first two on request.
 
     A null text is empty: it has no ids, and the digests of nothing. Rows are coded one by one and never moved.
@@ -262,9 +273,9 @@ def coded(docs: DataFrame, path: str, make: Callable[[str], Codec] = Codec, with
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 ids = codec.encode(text)
-                decoded = codec.decode(ids)
-                digests = (hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest())
-                out.append((doc_id, len(ids) // 4, *digests, *((np.frombuffer(ids, "<u4").astype("i8"), decoded) if with_ids else ())))
+                decoded = codec.decode(ids).encode()
+                digests = (hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest())
+                out.append((doc_id, len(ids) // 4, *digests, *((np.frombuffer(ids, "<u4").astype("i8"), decoded.decode()) if with_ids else ())))
             yield pd.DataFrame(out, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(("ids", "decoded") if with_ids else ())])
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
