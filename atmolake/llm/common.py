@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
+import weakref
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atmolake.session import scratch_path
+from atmolake.sinks import folders
 
 #: The six ASCII characters that separate words.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -29,8 +32,40 @@ def save(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    for tables in _noting:
+        tables.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    saved = spark.read.schema(df.schema).parquet(path)
+    saved.scratch = path
+    return saved
+
+
+def drop(*saved: DataFrame) -> None:
+    """Remove tables of save() that nothing reads any more."""
+    for df in saved:
+        folders.remove(df.sparkSession, df.scratch)
+
+
+_noting: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def noted() -> Iterator[list[str]]:
+    """The paths of all tables that are saved meanwhile."""
+    tables: list[str] = []
+    _noting.append(tables)
+    try:
+        yield tables
+    finally:
+        _noting.remove(tables)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """The name, or one like it, that no column of df has, in any case of letters."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def crc_mod(key: str, divisor: int) -> Column:
@@ -51,9 +86,22 @@ class Memo(dict):
     """A bounded cache of a pure function of texts. When half of it is new, only what was used since the last time
     stays; long texts are not kept, so the bound is one of memory."""
 
+    #: Those of this process. A worker lives on from stage to stage, so an operator that begins empties those of others.
+    _all: list[weakref.ref[Memo]] = []
+
     def __init__(self, function: Callable, limit: int = 400_000):
         super().__init__()
         self.function, self.half, self.old = function, limit // 2, {}
+        Memo._all.append(weakref.ref(self))
+
+    __hash__ = object.__hash__
+
+    def alone(self) -> None:
+        """Empty all other caches of the process."""
+        for other in [reference() for reference in Memo._all]:
+            if other is not None and other is not self:
+                other.clear()
+                other.old = {}
 
     def __missing__(self, key):
         if len(key) > 64:
@@ -68,6 +116,13 @@ class Memo(dict):
         return value
 
 
+def give_back() -> None:
+    """Give memory that Arrow holds for later back to the system; a worker that waits for the next stage needs none."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+
+
 #: Characters outside those for which LATIN_PARTS splits as public_tokenizers.PATTERN does.
 NOT_LATIN = re.compile("[^\x00-\x1b\x20-\u024f\u2010-\u2027\u20ac]").search
 _LETTERS, _NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"

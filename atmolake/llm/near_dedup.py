@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,12 +25,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from atmolake.llm.common import Memo, save, words_of
+from atmolake.llm.common import Memo, drop, give_back, save, words_of
 
 SHINGLE = 5
 HALF = 4
 #: Probability with which two texts that are just similar enough meet, at least.
 MEET = 0.9997
+#: Probability with which a pair is taken for unlike by its minhashes although it is just similar enough, at most.
+MISSED = 1e-9
 #: Minhashes of candidates, to tell what is nearly similar enough from what is.
 FINE = 1024
 
@@ -42,7 +45,7 @@ def _mix(acc: np.ndarray, value: np.ndarray) -> np.ndarray:
     return acc ^ (acc >> _SHIFT)
 
 
-_word_hash = Memo(xxhash.xxh64_intdigest)
+_word_hash = Memo(xxhash.xxh64_intdigest, 100_000)
 
 
 def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
@@ -114,15 +117,24 @@ def unlike(a: str, b: str, longs: int) -> Column:
     return F.aggregate(each, F.lit(0), lambda total, n: total + n)
 
 
+@functools.cache
 def most_unlike(n: int, percent: int) -> int:
-    """Of n minhashes a pair of the similarity sought differs in a binomial number. No pair beyond its mean and 4.5
-    deviations is looked at; one in 300,000 of those that are just similar enough lies there, of others fewer."""
+    """Of n minhashes a pair of the similarity sought differs in a binomial number, one of 15 in 16 of the others. No pair
+    that differs in more than this number is looked at. The number is the smallest whose exact binomial tail is at most
+    MISSED for pairs that are just similar enough; for more similar ones it is less."""
     rate = (1 - percent / 100) * 15 / 16
-    return int(n * rate + 4.5 * (n * rate * (1 - rate)) ** 0.5)
+    tail, k = 0.0, n
+    while k > 0:
+        tail += math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(rate) + (n - k) * math.log1p(-rate))
+        if tail > MISSED:
+            return k
+        k -= 1
+    return k
 
 
 def _sketch(width: int):
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _word_hash.alone()
         for batch in batches:
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
@@ -130,15 +142,20 @@ def _sketch(width: int):
                 digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None
                 out.append((doc_id, len(found), digest, *(collections(found, width) if len(found) else (None, None))))
             yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "set_hash", "cells", "codes"])
+        give_back()
 
     return sketch
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    _word_hash.alone()
     for batch in batches:
-        sets = [shingle_set(text) for text in batch["text"]]
-        fine = [nibbles(minhashes(s, FINE)) for s in sets]
-        yield pd.DataFrame({"id": batch["doc_id"], "n": [len(s) for s in sets], "shingles": [s.view(np.int64) for s in sets], "fine": fine})
+        for start in range(0, len(batch), 500):  # sets are as large as their texts
+            part = batch.iloc[start : start + 500]
+            sets = [shingle_set(text) for text in part["text"]]
+            fine = [nibbles(minhashes(s, FINE)) for s in sets]
+            yield pd.DataFrame({"id": part["doc_id"], "n": [len(s) for s in sets], "shingles": [s.view(np.int64) for s in sets], "fine": fine})
+    give_back()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -163,8 +180,9 @@ def components(links: DataFrame) -> DataFrame:
     edges = save(links.filter("a <> b").select("a", "b").distinct(), "links")
     before = None
     while (now := state(edges)) != before:
-        before = now
-        edges = save(star(star(edges, True), False), "stars")
+        before, last = now, edges
+        edges = save(star(star(last, True), False), "stars")
+        drop(last)
     return edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
 
 
@@ -214,9 +232,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
     buckets = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
     members = save(keys.join(buckets, "key"), "members")
+    drop(keys)
 
     ids = save(members.select(F.col("node").alias("doc_id")).distinct(), "candidates")
     sets = save(docs.join(ids, "doc_id", "left_semi").mapInPandas(_sets, "id long, n int, shingles array<long>, fine array<long>"), "sets")
+    drop(ids)
 
     ends = members.select(F.col("low").alias("a"), F.col("node").alias("b")).union(members.select(F.col("node").alias("a"), F.col("high").alias("b")))
     tried = save(ends.filter("a < b").distinct(), "pairs")
@@ -246,6 +266,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         more = save(confirmed(pairs, sets, percent), "confirmed")
         if not more.isEmpty():
             labels = save(components(links.union(more)), "labels")
+    drop(members, sets, tried, rest)
 
     by_set = nodes.select("set_hash", "node").join(labels, "node", "left").select("set_hash", F.coalesce("component", "node").alias("component"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from atmolake.llm.common import LATIN_PARTS, NOT_LATIN, Memo, crc32, save
+from atmolake.llm.common import LATIN_PARTS, NOT_LATIN, Memo, crc32, give_back, save
 
 CAPACITY = 1024
 
@@ -115,6 +115,7 @@ def pieces(docs: DataFrame, encode: Callable[[str], Callable[[str], bytes]], pat
                     part = data[4 * start : 4 * (start + capacity)]
                     out.append((doc_id, start, len(part) // 4, crc32(part), n))
             yield pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        give_back()
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInPandas(cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
@@ -163,25 +164,33 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
-@functools.lru_cache(2)
-def byte_bpe(path: str) -> Callable[[str], bytes]:
+class ByteBpe:
     """Ids of a byte-level BPE file of the tokenizers library; texts of special tokens are ordinary texts.
 
     The library splits a text before its merges; a part's ids depend on the part alone and are kept in a bounded
-    cache, which a process keeps from task to task. Texts with characters for which tables of letters may differ go to the library whole.
+    cache. Texts with characters for which tables of letters may differ go to the library whole.
     """
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    def __init__(self, path: str):
+        self.tokenizer = _tokenizer(path)
+        self.known = Memo(self._direct, 300_000)
+        self.known.alone()
 
-    def direct(text: str) -> bytes:
-        ids = tokenizer.encode(text, add_special_tokens=False).ids
+    def _direct(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    known = Memo(direct, 700_000)
+    def __call__(self, text: str) -> bytes:
+        return self._direct(text) if NOT_LATIN(text) else b"".join(map(self.known.__getitem__, LATIN_PARTS(text)))
+
+
+@functools.lru_cache(2)
+def _tokenizer(path: str):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    return tokenizer
 
-    def encode(text: str) -> bytes:
-        return direct(text) if NOT_LATIN(text) else b"".join(map(known.__getitem__, LATIN_PARTS(text)))
 
-    return encode
+byte_bpe = ByteBpe

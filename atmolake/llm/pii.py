@@ -7,8 +7,8 @@ a grid is valid, it is walked until a valid value comes (cycle walking, which ke
 
 Kinds: e-mail address (its last label stays), IPv4 address, telephone number (the country code stays), payment card
 (Luhn's check digit is made anew), IBAN (country stays, check digits made anew), US social security number, date
-between 1900 and 2099 (year-month-day, day.month.year, month/day/year, and day/month/year if the day is over 12), and
-what follows the name of a secret and `=` or `:`. What fails validation stays as it is.
+between 1900 and 2099 (year-month-day, day.month.year, month/day/year, and day/month/year if the day is over 12; a day has
+one pseudonym in all of these, which is written month first where a day/month/year would be read otherwise), and what follows the name of a secret and `=` or `:`. What fails validation stays as it is.
 """
 
 from __future__ import annotations
@@ -16,15 +16,28 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
+import warnings
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from atmolake.llm.common import give_back, unused
 
-#: Known to all; a deployment gives its own key.
+
+#: Known to all, for tests and for the registered queries; whoever has the key can undo the pseudonyms.
 DEFAULT_KEY = b"change this key"
+#: Setting of the session that holds the key of a deployment.
+KEY_SETTING = "spark.atmolake.pii.key"
+
+
+def session_key(spark: SparkSession) -> bytes:
+    """The key that the session was given, or else, with a warning, the one known to all."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        warnings.warn(f"{KEY_SETTING} is not set: pseudonyms are made with a key known to all", stacklevel=2)
+    return key.encode() if key else DEFAULT_KEY
 ROUNDS = 8
 
 
@@ -177,16 +190,9 @@ def _date(found: str, key: bytes) -> str | None:
         return None
     if not 1900 <= year <= 2099:
         return None
-    late = order == (2, 1, 0) and "/" in found  # pseudonyms must be read in the same order
-    while True:
-        value = date.toordinal() - _FIRST
-        while True:
-            value = feistel(value, 271, 270, key, "late date" if late else "date")
-            if value < _DAYS:
-                break
-        date = datetime.date.fromordinal(_FIRST + value)
-        if not late or date.day > 12:
-            break
+    date = _pseudonym(date, key)
+    if order == (2, 1, 0) and "/" in found and date.day <= 12:
+        order = (2, 0, 1)  # with slashes such a day is read as a month, so the pseudonym is written month first
     out = [""] * 3
     for k, number in zip(order, (date.year, date.month, date.day)):
         out[k] = str(number).zfill(4 if number > 99 else 2)
@@ -194,6 +200,15 @@ def _date(found: str, key: bytes) -> str | None:
     return out[0] + marks[0] + out[1] + marks[1] + out[2]
 
 
+def _pseudonym(date: datetime.date, key: bytes) -> datetime.date:
+    """One permutation of the days, whatever form a date is written in."""
+    value = date.toordinal() - _FIRST
+    while True:
+        value = feistel(value, 271, 270, key, "date")
+        if value < _DAYS:
+            return datetime.date.fromordinal(_FIRST + value)
+
+
 def _email(found: str, key: bytes) -> str | None:
     local, domain = found.rsplit("@", 1)
     names, dot, top = domain.rpartition(".")
@@ -282,11 +297,13 @@ def pseudonymized(text: str | None, key: bytes = DEFAULT_KEY) -> tuple[str | Non
     return "".join([*parts, text[end:]]), found
 
 
-def pseudonymize(docs: DataFrame, key: bytes = DEFAULT_KEY, text: str = "text", into: str = "pii") -> DataFrame:
-    """docs with the text replaced, and a struct column: number of replacements, and of each kind their number.
+def pseudonymize(docs: DataFrame, key: bytes | None = None, text: str = "text", into: str = "pii") -> DataFrame:
+    """docs with the text replaced, and a struct column `into`, in place of one of that name: of each kind the number of
+    replacements. Without a key the one of the session is taken.
 
     Null and empty texts stay. Rows are replaced one by one, so repeated rows stay alike; no row is moved.
     """
+    key = session_key(docs.sparkSession) if key is None else key
     kinds = sorted(["iban"] + [w[0] for w in _WORDS] + [n[0] for n in _NUMBERS])
     schema = "text string, " + ", ".join(f"{kind} int" for kind in kinds)
 
@@ -298,6 +315,8 @@ def pseudonymize(docs: DataFrame, key: bytes = DEFAULT_KEY, text: str = "text",
                 new, found = pseudonymized(value, key)
                 rows.append((new, *[sum(kind == f[2] for f in found) for kind in kinds]))
             yield pd.DataFrame(rows, columns=["text", *kinds])
+        give_back()
 
-    out = docs.withColumn("_pii", replace(F.col(text)))
-    return out.withColumns({text: F.col("_pii")["text"], into: F.col("_pii").dropFields("text")}).drop("_pii")
+    held = unused(docs, "_pii")
+    out = docs.withColumn(held, replace(F.col(f"`{text}`")))
+    return out.withColumns({text: F.col(held)["text"], into: F.col(held).dropFields("text")}).drop(held)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atmolake.llm.common import BLANK_RUN, BLANKS, NO_BLANK, save
+from atmolake.operators.lookups import broadcast_if_small
 
 #: A line goes if more documents of its host have it than both of these.
 MIN_DOCS, MIN_SHARE = 20, 0.05
@@ -90,7 +91,8 @@ def judge(docs: DataFrame, frequent: DataFrame, into: str = "quality") -> DataFr
     base_failed. Repeated rows are judged alike; a null doc_id owns no line. Columns of docs may have any names but
     those beginning with `_q_`.
     """
-    lines = frequent.select(*[F.col(c).alias(f"_q_{c}") for c in frequent.columns])
+    # Few texts have shared lines, so their lists are small for long; while they are, the texts stay where they are.
+    lines = broadcast_if_small(frequent.select(*[F.col(c).alias(f"_q_{c}") for c in frequent.columns]))
     on = F.col("_q_host") == _host()
     if "document" in frequent.columns:
         on &= F.col("_q_document") == F.xxhash64(_text())
@@ -142,7 +144,7 @@ def judge(docs: DataFrame, frequent: DataFrame, into: str = "quality") -> DataFr
     quality = (
         q.withField("text", clean).withField("base_failed", failed).withField("depleted", depleted).withField("kept", ~failed & ~depleted)
     )
-    return df.select(*docs.columns, quality.alias(into))
+    return df.select(*[F.col(f"`{c}`") for c in docs.columns], quality.alias(into))
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:

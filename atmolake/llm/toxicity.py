@@ -107,12 +107,15 @@ def score(model: Model, text: str | None) -> float:
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """Fit on labelled documents outside the held-out fold. docs: doc_id, text. labels: doc_id, toxic; null labels don't count."""
     labels = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").filter(crc_mod("doc_id", HELD_OUT_FOLDS) != 0)
-    labels = labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic"))
+    # An id is one row of the sample, however often it comes; one with both labels has none.
+    labels = labels.groupBy(F.col("doc_id").alias("id")).agg(F.min(F.col("toxic").cast("int")).alias("toxic"), F.max(F.col("toxic").cast("int")).alias("most"))
+    labels = labels.filter("toxic = most").drop("most")
     chosen = [labels.filter(F.col("toxic") == k).orderBy(F.xxhash64("id"), "id").limit(per_class) for k in (0, 1)]
 
-    # The sample is bounded by per_class, so its ids are broadcast and its texts collected.
-    sample = docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(chosen[0].union(chosen[1])), "id")
-    rows = sorted((r["id"], r["toxic"], r["text"] or "") for r in sample.collect())
+    # The sample is bounded by per_class, so its ids are broadcast and its texts collected, of a repeated id the least one.
+    sample = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen[0].union(chosen[1])), "id")
+    sample = sample.groupBy("id", "toxic").agg(F.min("text").alias("text"))
+    rows = sorted((r["id"], r["toxic"], r["text"]) for r in sample.collect())
     return fit([text for *_, text in rows], np.array([toxic for _, toxic, _ in rows]))
 
 

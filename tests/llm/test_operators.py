@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import datetime
 import math
 import random
 import zlib
@@ -10,6 +11,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from atmolake.llm import ann, attention, bpe, lm, near_dedup, packing, pii, quality, sharding, toxicity
 from atmolake.llm.queries import QUERIES
@@ -269,9 +271,46 @@ def test_feistel_is_a_permutation(left, right):
     assert sorted(pii.feistel(i, left, right, b"k", "t") for i in range(left * right)) == list(range(left * right))
 
 
-def test_dates_are_permuted():
-    import datetime
+def test_a_day_has_one_pseudonym_in_all_forms():
+    """Read as it was written, the day is the same whatever the form, and no other day comes to it."""
+
+    def read(text):
+        a, b, c = (int(p) for p in text.replace("/", " ").replace(".", " ").replace("-", " ").split())
+        if a > 99:
+            return (a, b, c)
+        return (c, b, a) if "." in text or a > 12 else (c, a, b)
+
+    seen = set()
+    for n in range(0, pii._DAYS, 11):
+        d = datetime.date.fromordinal(pii._FIRST + n)
+        forms = [f"{d:%Y-%m-%d}", f"{d:%Y/%m/%d}", f"{d:%d.%m.%Y}", f"{d:%m/%d/%Y}"] + [f"{d:%d/%m/%Y}"] * (d.day > 12)
+        new = {read(pii._date(form, b"k")) for form in forms}
+        assert len(new) == 1 and not new & seen, forms
+        seen |= new
+
+
+def test_the_key_comes_from_the_session(spark):
+    docs = spark.createDataFrame([("call 743-555-3824", 1)], "text string, _pii int")
+    with pytest.warns(UserWarning, match="known to all"):
+        plain = pii.pseudonymize(docs).first()
+    spark.conf.set(pii.KEY_SETTING, "of a deployment")
+    try:
+        keyed = pii.pseudonymize(docs, into="found").first()
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+    assert keyed["text"] == pii.pseudonymized("call 743-555-3824", b"of a deployment")[0] != plain["text"]
+    assert keyed["_pii"] == 1 and keyed["found"]["phone"] == 1
+
 
+def test_the_query_replaces_whole_texts(spark, documents):
+    rows = {r["doc_id"]: r for r in QUERIES["op8_pii"](spark, SF_DIR).collect()}
+    assert len(rows) == len(documents)
+    for doc_id, text in documents:
+        new, found = pii.pseudonymized(text)
+        assert rows[doc_id]["text"] == new and rows[doc_id]["date"] == sum(f[2] == "date" for f in found)
+
+
+def test_dates_are_permuted():
     days = [datetime.date.fromordinal(pii._FIRST + i).isoformat() for i in range(0, pii._DAYS, 7)]
     new = {pii._date(d, b"k") for d in days}
     assert len(new) == len(days) and all(1900 <= int(d[:4]) <= 2099 for d in new)
@@ -397,3 +436,45 @@ def test_scores_of_odd_rows_are_finite(edge):
 
 def test_rounds_grow_with_the_windows():
     assert [lm.n_rounds(n) for n in (0, 10, 50_000, 60_000, 3_200_000)] == [1, 1, 1, 2, 8]
+
+
+# Toxicity
+
+
+def test_the_toxicity_query_learns_outside_its_fold_and_from_texts_alone(spark, documents):
+    rows = {r["doc_id"]: r for r in QUERIES["op10_toxicity"](spark, SF_DIR).collect()}
+    assert len(rows) == len(documents)
+    for doc_id, _ in documents:
+        assert rows[doc_id]["held_out"] == (zlib.crc32(str(doc_id).encode()) % 5 == 0)
+        assert rows[doc_id]["predicted"] == int(rows[doc_id]["score"] >= 0.5) and 0 <= rows[doc_id]["score"] <= 1
+    docs, labels = (spark.read.parquet(f"{SF_DIR}/{name}.parquet") for name in ("documents", "labels"))
+    scores = lambda d, lab: {r["text"]: r["s"] for r in toxicity.scored(d, toxicity.train(d, lab), "s").collect()}
+    plain = scores(docs, labels)
+    # Labels of the held-out fold, other columns and the order of rows make no difference.
+    turned = labels.withColumn("toxic", F.when(toxicity.crc_mod("doc_id", 5) == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    assert scores(docs.withColumns({"lang": F.lit("x"), "source": F.lit("y")}).repartition(7), turned) == plain
+    truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    held = [i for i in truth if i in rows and rows[i]["held_out"]]
+    assert len(held) > 5 and sum(rows[i]["predicted"] == truth[i] for i in held) >= 0.9 * len(held)
+
+
+def test_a_repeated_id_is_one_row_of_the_sample(spark):
+    rows = [(i, ("nice day friend " if i % 2 else "vile awful scum ") * 5) for i in range(40)]
+    labels = [(i, 1 - i % 2) for i in range(40)]
+    make = lambda r, lab: toxicity.train(spark.createDataFrame(r, "doc_id long, text string"), spark.createDataFrame(lab, "doc_id long, toxic int"))
+    once = make(rows, labels)
+    many = make([*rows, *rows[:7] * 30], [*labels, *labels[:9] * 20, (100, 0), (100, 1)])
+    assert np.array_equal(once.weights, many.weights) and once.bias == many.bias
+
+
+# Near duplicates
+
+
+@pytest.mark.parametrize("n, percent", [(96, 85), (144, 80), (1024, 85), (1024, 80)])
+def test_pairs_are_told_apart_by_the_exact_tail(n, percent):
+    from fractions import Fraction
+
+    rate = (1 - Fraction(percent, 100)) * Fraction(15, 16)
+    tail = lambda k: sum(math.comb(n, i) * rate**i * (1 - rate) ** (n - i) for i in range(k + 1, n + 1))
+    most = near_dedup.most_unlike(n, percent)
+    assert float(tail(most)) <= near_dedup.MISSED < float(tail(most - 1))

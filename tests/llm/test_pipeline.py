@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 
 import corpus_pipeline
-from atmolake.llm import near_dedup, pii
+from atmolake.llm import common, near_dedup, pii
 from atmolake.llm.common import save
 from tests.llm.conftest import SF_DIR
 
@@ -75,3 +76,24 @@ def test_rows_of_one_id_are_judged_by_their_own_text(spark):
     out = corpus_pipeline.dedup_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF_DIR).collect()
     kept = sorted((r["doc_id"], (r["text"] or "")[:2]) for r in out)
     assert kept == [(1, "a0"), (1, "b0"), (3, "c0"), (4, "d0"), (5, ""), (6, "")]
+
+
+def test_columns_of_any_name_come_through(spark):
+    """Names that stages use inside, dots among them, keep their values."""
+    names = ["_quality", "_Toxicity", "_row", "_pii_found", "_pii", "x.y", "kept", "n"]
+    text = lambda k: " ".join(f"{k}word{i}" for i in range(80))
+    rows = [(i, text(i % 5), "h", *[f"{name} {i}" for name in names]) for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{name}` string" for name in names))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = save(stage(spark, docs, SF_DIR), "test")
+    assert docs.columns == ["doc_id", "text", "source", *names]
+    out = docs.collect()
+    assert sorted(r["doc_id"] for r in out) == [0, 1, 2, 3, 4]
+    assert all(r[name] == f"{name} {r['doc_id']}" for r in out for name in names)
+
+
+def test_run_leaves_only_its_result(spark, tmp_path, monkeypatch):
+    names = itertools.count()
+    monkeypatch.setattr(common, "scratch_path", lambda spark, label: f"{tmp_path}/{label}-{next(names)}")
+    rows = corpus_pipeline.run(spark, SF_DIR)
+    assert rows.count() > 0 and [p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()] == ["stage-packing"]
