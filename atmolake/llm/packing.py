@@ -171,10 +171,9 @@ class ByteBpe:
     cache. Texts with characters for which tables of letters may differ go to the library whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int):
         self.tokenizer = _tokenizer(path)
-        self.known = Memo(self._direct, 300_000)
-        self.known.alone()
+        self.known = Memo(self._direct, kept)
 
     def _direct(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -193,4 +192,20 @@ def _tokenizer(path: str):
     return tokenizer
 
 
-byte_bpe = ByteBpe
+@functools.lru_cache(2)
+def _kept(path: str) -> ByteBpe:
+    return ByteBpe(path, 700_000)
+
+
+def byte_bpe(path: str) -> ByteBpe:
+    """The encoder of this process, with a large cache that is kept from task to task."""
+    encoder = _kept(path)
+    encoder.known.alone()
+    return encoder
+
+
+def byte_bpe_lean(path: str) -> ByteBpe:
+    """An encoder with a small cache of its own, for tasks that share their memory with those of other stages."""
+    encoder = ByteBpe(path, 300_000)
+    encoder.known.alone()
+    return encoder
