@@ -106,7 +106,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @_stage
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row for each piece of a document in a sequence."""
-    return packing.pack(packing.pieces(docs, packing.byte_bpe, public_tokenizers.path("byte_bpe_50k.json")))
+    return packing.pack(packing.pieces(docs, packing.byte_bpe_lean, public_tokenizers.path("byte_bpe_50k.json")))
 
 
 STAGES = [
