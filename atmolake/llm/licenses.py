@@ -75,12 +75,15 @@ def notices(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     norms = {name: math.sqrt(sum(x * x for x in vector.values())) for name, vector in vectors.items()}
 
     def may_reach(name: str) -> Column:
-        held = reduce(Column.__add__, [F.when(F.array_contains("words", w), x * x).otherwise(0.0) for w, x in vectors[name].items()])
+        held = reduce(Column.__add__, [F.when(F.array_contains("known", w), x * x).otherwise(0.0) for w, x in vectors[name].items()])
         return held >= 0.999999 * (threshold * norms[name]) ** 2
 
-    # A generator, as a filter would be pushed below the words and split the line again for each word of a template.
+    # A line is met with the words of all templates once; most lines have none or few, and only these are looked for again.
+    # Generators, as a filter would be pushed below the words and split the line again for each word of a template.
+    lines = _lines(files).withColumn("known", F.array_intersect("words", F.array(*map(F.lit, VOCABULARY))))
+    lines = lines.select("id", "line", "words", F.explode(F.when(F.size("known") > 0, F.array("known"))).alias("known"))
     reach = reduce(Column.__or__, [may_reach(name) for name in vectors])
-    candidates = _lines(files).select("id", "line", "words", F.explode(F.when(reach, F.array(F.lit(True)))).alias("reach"))
+    candidates = lines.select("id", "line", "words", F.explode(F.when(reach, F.array(F.lit(True)))).alias("reach"))
     rows = candidates.select("id", "line", F.size("words").alias("n_words"), F.explode("words").alias("word"))
     rows = rows.groupBy("id", "line", "n_words", "word").agg(F.count(F.lit(1)).alias("times"))
     spark = files.sparkSession
