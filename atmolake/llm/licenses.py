@@ -108,17 +108,18 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     own_license is that of the closest line, of equal ones the first. license is it, or what is inherited; null if there
     is none. inherited_from is the directory. Null texts have no lines, a null path lies in the directory ''. Of several
-    license files in a directory the most frequent license counts, of equal ones the first by name. Rows with a null id
-    or a repeated one are looked at together, as one file.
+    license files in a directory the most frequent license counts, of equal ones the first by name. A null id is an id
+    like others; rows that repeat an id are files of their own by their paths and texts, and equal rows come out alike.
     """
     files = files.select("id", F.coalesce("path", F.lit("")).alias("path"), "text")
-    found = save(notices(files, threshold), "notices")
+    files = files.withColumn("key", F.to_json(F.struct("id", "path", F.xxhash64("text").alias("text"))))
+    found = save(notices(files.select(F.col("key").alias("id"), "text"), threshold), "notices")
     by_file = found.groupBy("id").agg(
         F.min(F.struct((-F.col("score")).alias("minus"), "line", "template")).alias("best"), F.sum("n_words").alias("notice_words")
     )
     n_words = F.size(line_words(F.coalesce(F.col("text"), F.lit(""))))
-    narrow = files.select("id", "path", folder(F.col("path")).alias("folder"), n_words.alias("n_words"))
-    own = narrow.join(by_file, narrow["id"].eqNullSafe(by_file["id"]), "left").drop(by_file["id"])
+    narrow = files.select("id", "key", "path", folder(F.col("path")).alias("folder"), n_words.alias("n_words"))
+    own = narrow.join(by_file.withColumnRenamed("id", "key"), "key", "left")
     own = save(own.select("id", "path", "folder", "n_words", "notice_words", "best"), "files")
 
     license_files = own.filter(100 * F.col("notice_words") >= FILE_PERCENT * F.col("n_words"))

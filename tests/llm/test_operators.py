@@ -13,7 +13,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from atmolake.llm import ann, attention, bpe, lm, near_dedup, packing, pii, quality, sharding, toxicity
+from atmolake.llm import ann, attention, bpe, licenses, lm, near_dedup, packing, pii, quality, sharding, toxicity
 from atmolake.llm.queries import QUERIES
 from tests.llm.conftest import EDGE, SF_DIR
 
@@ -478,3 +478,30 @@ def test_pairs_are_told_apart_by_the_exact_tail(n, percent):
     tail = lambda k: sum(math.comb(n, i) * rate**i * (1 - rate) ** (n - i) for i in range(k + 1, n + 1))
     most = near_dedup.most_unlike(n, percent)
     assert float(tail(most)) <= near_dedup.MISSED < float(tail(most - 1))
+
+
+# Licenses
+
+
+def test_null_and_repeated_ids_are_files_of_their_own(spark):
+    mit, bsd = "Released under the MIT License.", "Released under the BSD 2-Clause License."
+    prose = " ".join(f"word{i}" for i in range(200))
+    rows = [
+        (None, "a/x", f"{prose}\n{mit}\n{prose}"), (None, "a/y", prose), (1, "a/z", f"{prose}\n{mit}"), (1, "a/z", f"{prose}\n{bsd}"),
+        (2, "a/w", f"{prose}\n{bsd}"), (2, "a/w", f"{prose}\n{bsd}"), (3, None, None),
+    ]
+    out = licenses.scan(spark.createDataFrame(rows, "id long, path string, text string"))
+    assert sorted(((r["id"], r["path"], r["license"]) for r in out.collect()), key=repr) == sorted(
+        [(None, "a/x", "MIT"), (None, "a/y", None), (1, "a/z", "MIT"), (1, "a/z", "BSD-2-Clause"), (2, "a/w", "BSD-2-Clause"),
+         (2, "a/w", "BSD-2-Clause"), (3, "", None)], key=repr
+    )
+
+
+def test_a_license_comes_from_the_nearest_ancestor_that_has_one(spark):
+    mit, bsd = "Released under the MIT License.", "Released under the BSD 2-Clause License."
+    rows = [
+        (1, "a/LICENSE", mit), (2, "a/b/c/d/file", "text"), (3, "a/b/c/LICENSE", bsd), (4, "a/b/file", "text"), (5, "z/file", "text"), (6, "a/file", "text"),
+    ]
+    out = licenses.scan(spark.createDataFrame(rows, "id long, path string, text string"))
+    found = {r["id"]: (r["license"], r["inherited_from"]) for r in out.collect()}
+    assert found == {1: ("MIT", None), 2: ("BSD-2-Clause", "a/b/c"), 3: ("BSD-2-Clause", None), 4: ("MIT", "a"), 5: (None, None), 6: ("MIT", "a")}
