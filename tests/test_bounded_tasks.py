@@ -1,5 +1,7 @@
 """What a task holds does not grow with the tables: figures of plans over rows made here."""
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from atmolake.registry import base, inputs
@@ -38,3 +40,14 @@ def test_matrices_of_one_file_are_dealt_to_tasks(spark, tmp_path, monkeypatch):
     for line in plan(choice).splitlines():
         assert "min_by" not in line or "header" not in line
     assert "ENSURE_REQUIREMENTS" not in plan(choice)
+
+
+def test_spans_are_judged_in_one_join(spark, tmp_path):
+    day = lambda n: datetime(2024, 1, 1 + n)
+    orders = [(1, day(0)), (2, None), (2, day(1)), (3, day(2))]
+    lines = [(1, 1, day(30)), (1, 1, day(30)), (1, 2, datetime(2024, 3, 1)), (2, 1, day(3)), (None, 1, day(3)), (4, 1, day(3))]
+    spark.createDataFrame(orders, "o_orderkey bigint, o_orderdate timestamp_ntz").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey bigint, l_linenumber int, l_shipdate timestamp_ntz").write.parquet(f"{tmp_path}/lineitem.parquet")
+    judged = QUERIES["max_span_guard"](spark, str(tmp_path))
+    assert [(row[0], row[1], row[4]) for row in rows(judged)] == [(1, 1, True), (1, 1, True), (1, 2, False), (2, 1, False), (2, 1, True)]
+    assert "Union" not in plan(judged)
