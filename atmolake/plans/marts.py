@@ -18,6 +18,17 @@ SOURCES = ["weather", "air_quality", "personal_weather"]
 BUCKETS = 64
 
 
+#: Bronze rows for each bucket where their number is taken from the tables.
+ROWS_PER_BUCKET = 1_000_000
+
+
+def buckets_for(models: Models, least: int = 8) -> int:
+    """As many buckets as keep a task at ROWS_PER_BUCKET bronze rows, however many there are."""
+    bronze = models.bronze
+    rows = sum(df.count() for df in (bronze.hourly_weather, bronze.hourly_pws_weather, bronze.hourly_air_quality))
+    return max(least, -(-rows // ROWS_PER_BUCKET))
+
+
 def write_marts(models: Models, env: str = "prod", buckets: int = BUCKETS, prefix: str = "") -> list[DataFrame]:
     """Write the sources of `models` as bucketed tables of `env`, each replaced as a whole, and give them back as read."""
     spark = models.bronze.hourly_weather.sparkSession

@@ -4,6 +4,8 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from atmolake.plans import marts
+from atmolake.plans.models import Bronze, Models
 from atmolake.registry import base, inputs
 from atmolake.registry.base import QUERIES
 from tests.conftest import rows
@@ -51,3 +53,11 @@ def test_spans_are_judged_in_one_join(spark, tmp_path):
     judged = QUERIES["max_span_guard"](spark, str(tmp_path))
     assert [(row[0], row[1], row[4]) for row in rows(judged)] == [(1, 1, True), (1, 1, True), (1, 2, False), (2, 1, False), (2, 1, True)]
     assert "Union" not in plan(judged)
+
+
+def test_buckets_grow_with_the_tables(spark, monkeypatch):
+    monkeypatch.setattr(marts, "ROWS_PER_BUCKET", 10, raising=False)
+    empty = spark.createDataFrame([], "datetime string")
+    for n, buckets in ((0, 8), (80, 8), (81, 9), (1000, 100)):
+        models = Models(Bronze(spark.range(n), empty, empty), None)
+        assert marts.buckets_for(models) == buckets
