@@ -4,10 +4,13 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from atmolake.functions.casts import apart
+from atmolake.operators.staging import stage_pws, stage_weather
 from atmolake.plans import marts
 from atmolake.plans.models import Bronze, Models
 from atmolake.registry import base, inputs
 from atmolake.registry.base import QUERIES
+from atmolake.schemas import BRONZE_PWS, BRONZE_WEATHER
 from tests.conftest import rows
 
 
@@ -61,3 +64,18 @@ def test_buckets_grow_with_the_tables(spark, monkeypatch):
     for n, buckets in ((0, 8), (80, 8), (81, 9), (1000, 100)):
         models = Models(Bronze(spark.range(n), empty, empty), None)
         assert marts.buckets_for(models) == buckets
+
+
+def test_wide_staging_is_compiled_column_by_column(spark):
+    """One method for all columns is too long for the JIT compiler; it would be a whole-stage projection, marked by a star."""
+    for stage, columns in ((stage_weather, BRONZE_WEATHER), (stage_pws, BRONZE_PWS)):
+        texts = [F.when(F.col("id") >= 0, F.lit("2024-01-01" if name == "datetime" else "7")).alias(name) for name in columns]
+        staged = stage(spark.range(3).select(*texts))
+        typed = [line for line in plan(staged).splitlines() if "Project" in line and "AS temperature" in line and "transform(" in line]
+        assert typed and not any("*(" in line for line in typed)
+        assert [row.temperature for row in staged.collect()] == [7.0] * 3
+
+
+def test_a_value_apart_is_the_same(spark):
+    values = spark.createDataFrame([(1.5,), (None,), (float("nan"),)], "v double").select(apart(F.col("v")).alias("v"))
+    assert repr([row.v for row in values.collect()]) == "[1.5, None, nan]"
