@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from atmolake.functions.casts import apart
 from atmolake.operators.staging import stage_pws, stage_weather
-from atmolake.plans import marts
+from atmolake.plans import core, marts
 from atmolake.plans.models import Bronze, Models
 from atmolake.registry import base, inputs
 from atmolake.registry.base import QUERIES
@@ -79,3 +79,19 @@ def test_wide_staging_is_compiled_column_by_column(spark):
 def test_a_value_apart_is_the_same(spark):
     values = spark.createDataFrame([(1.5,), (None,), (float("nan"),)], "v double").select(apart(F.col("v")).alias("v"))
     assert repr([row.v for row in values.collect()]) == "[1.5, None, nan]"
+
+
+def test_sources_are_averaged_before_they_meet(spark):
+    def source(names, *given):
+        keys = {"datetime": "2024-01-01", "place": None, "city": "c", "state": "s"}
+        columns = [F.lit(value).cast("timestamp_ntz" if key == "datetime" else "string").alias(key) for key, value in keys.items()]
+        return spark.createDataFrame([(float(v),) for v in given], "v double").select(*columns, *[F.col("v").alias(name) for name in names])
+
+    weather = source([*core.BLENDED.values(), *core.WEATHER_ONLY], 1, 2, 6)
+    personal = source([*core.BLENDED, *core.PWS_ONLY], 5, 6)
+    averages = core.source_averages(weather, source(["pollutant_value"], 4), personal)
+    # Sums of a source are shuffled with its own rows only: no partial sum has columns of two sources.
+    partial = [line for line in plan(averages).splitlines() if "partial_avg" in line]
+    assert partial and not any("weather_" in line and "pws_" in line for line in partial)
+    (row,) = averages.collect()
+    assert (row.weather_temperature, row.pws_temperature, row.pollutant_value, row.visibility) == (3.0, 5.5, 4.0, 3.0)
