@@ -212,6 +212,29 @@ def test_every_id_is_in_one_place(spark, documents):
     assert set(starts) == set(ids) and len(places) <= math.ceil(sum(map(len, ids.values())) / 1024) + 2
 
 
+def test_unseen_parts_are_merged_as_the_library_does(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    encoder = packing.ByteBpe(path, 100)
+    encoder.tokenizer = None  # a Latin text needs no call of the library
+    rng = random.Random(5)
+    letters = "aeinst éßŽ'\n 0.," + "thinger" * 3
+    for _ in range(500):
+        text = "".join(rng.choice(letters) for _ in range(rng.randrange(1, 120)))
+        assert encoder(text) == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    # "abc" is listed as a + bc, but "ab" comes first, so that it is never made; tiktoken would make it of ab + c.
+    vocab = {c: i for i, c in enumerate(sorted(pre_tokenizers.ByteLevel.alphabet()))} | {"ab": 256, "bc": 257, "abc": 258}
+    odd = Tokenizer(models.BPE(vocab, [("a", "b"), ("b", "c"), ("a", "bc")]))
+    odd.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    odd.save(str(tmp_path / "odd.json"))
+    encoder = packing.ByteBpe(str(tmp_path / "odd.json"), 100)
+    assert encoder.merger is None
+    assert encoder("abc bc") == np.array(odd.encode("abc bc").ids, "<u4").tobytes()
+
+
 # Pseudonyms
 
 
