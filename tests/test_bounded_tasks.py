@@ -11,6 +11,7 @@ from atmolake.plans.models import Bronze, Models
 from atmolake.registry import base, inputs
 from atmolake.registry.base import QUERIES
 from atmolake.schemas import BRONZE_PWS, BRONZE_WEATHER
+from atmolake.sources import landing
 from tests.conftest import rows
 
 
@@ -95,3 +96,32 @@ def test_sources_are_averaged_before_they_meet(spark):
     assert partial and not any("weather_" in line and "pws_" in line for line in partial)
     (row,) = averages.collect()
     assert (row.weather_temperature, row.pws_temperature, row.pollutant_value, row.visibility) == (3.0, 5.5, 4.0, 3.0)
+
+
+def events(spark, path, n):
+    key = F.col("id")
+    spark.range(n).coalesce(1).select(
+        key.alias("event_id"),
+        F.lit(datetime(2024, 1, 2, 3, 4)).cast("timestamp_ntz").alias("ts"),
+        (key % 7).alias("user_id"),
+        F.when(key % 2 == 0, "view").otherwise("error").alias("event_type"),
+        (key + 50).cast("double").alias("value"),
+        F.lit("{}").alias("props"),
+    ).write.parquet(f"{path}/events.parquet")
+
+
+def test_documents_are_dealt_to_tasks_and_made_once(spark, tmp_path, monkeypatch):
+    events(spark, tmp_path, 44)
+    monkeypatch.setattr(base, "ROWS_PER_TASK", 10)
+    aside = QUERIES["quarantined_documents"](spark, str(tmp_path))
+    assert aside.rdd.getNumPartitions() == 5
+    assert aside._jdf.queryExecution().optimizedPlan().toString().count("StructsToJsonEvaluator") == 1
+    broken = [(n, "broken", None) for n in range(0, 44, 11)]
+    refused = [(n, "refused", f"U{n % 7}:9:MY") for n in range(44) if n % 11 and n % 2 and n > 10]
+    assert rows(aside) == sorted(broken + refused, key=repr)
+
+
+def test_blank_and_missing_documents_are_none(spark):
+    documents = spark.createDataFrame([(1, None), (2, ""), (3, " \t"), (4, "  "), (5, "{}")], "n int, value string")
+    opened = landing.open_maps(documents, landing.RESPONSES["weather"], "n").select("n", "document")
+    assert rows(opened) == [(3, "broken"), (5, "empty")]
