@@ -125,3 +125,8 @@ def test_blank_and_missing_documents_are_none(spark):
     documents = spark.createDataFrame([(1, None), (2, ""), (3, " \t"), (4, "  "), (5, "{}")], "n int, value string")
     opened = landing.open_maps(documents, landing.RESPONSES["weather"], "n").select("n", "document")
     assert rows(opened) == [(3, "broken"), (5, "empty")]
+
+
+def test_averages_that_two_joins_read_are_computed_once(spark):
+    joined = QUERIES["full_outer_join_3way"](spark, "/root/testdata/sf0.001")
+    assert not [path for path in joined.inputFiles() if path.endswith("lineitem.parquet")]
