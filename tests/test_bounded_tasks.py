@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from atmolake.functions.casts import apart
 from atmolake.operators.staging import stage_pws, stage_weather
-from atmolake.plans import core, marts
-from atmolake.plans.models import Bronze, Models
-from atmolake.registry import base, inputs
+from atmolake.plans import checks, core, marts
+from atmolake.plans.models import BRONZE_TABLES, MODEL_NAMES, Bronze, Models
+from atmolake.registry import base, inputs, relations
 from atmolake.registry.base import QUERIES
 from atmolake.schemas import BRONZE_PWS, BRONZE_WEATHER
 from atmolake.sources import landing
@@ -130,3 +130,29 @@ def test_blank_and_missing_documents_are_none(spark):
 def test_averages_that_two_joins_read_are_computed_once(spark):
     joined = QUERIES["full_outer_join_3way"](spark, "/root/testdata/sf0.001")
     assert not [path for path in joined.inputFiles() if path.endswith("lineitem.parquet")]
+
+
+def test_declared_checks_write_the_columns_that_somebody_reads(spark, tmp_path, monkeypatch):
+    """Others would be cast, averaged and written for each row and read by nothing; the report is that of the whole models."""
+    def write(table, rows):
+        spark.createDataFrame(rows, base.TABLES[table]).write.parquet(f"{tmp_path}/{table}.parquet")
+
+    day = lambda n: datetime(2024, 1, 1 + n)
+    write("region", [(0, "R")])
+    write("nation", [(n, f"N{n}", 0) for n in range(3)])
+    write("customer", [(i, "c", i % 3, float(i * 900 - 800), "BUILDING" if i % 2 else "X") for i in range(9)] + [(1, "again", 1, 5.0, "X")])
+    write("supplier", [(i, "s", i % 3, float(i * 2000 - 1500)) for i in range(5)] + [(None, None, None, None), (2, "again", 2, 5.0)])
+    write("part", [(1, "p", "b", "t", 1, 1.0)])
+    write("orders", [(i, i % 11, "OFP"[i % 3], 1000.0 + i * 7000, day(i % 4) if i % 9 else None, f"{i % 5 + 1}-X") for i in range(60)] * 2)
+    write("lineitem", [(i, 1, i % 7, i % 7 + 1, float(i % 51), 20000.0 + i * 900, i % 11 / 100, i % 9 / 100, "NAR"[i % 3], "OF"[i % 2], day(i % 4) if i % 8 else None) for i in range(90)] * 2)
+    written = {}
+    materialize = relations.materialize_table
+    monkeypatch.setattr(relations, "materialize_table", lambda df, path: written.update({path.rsplit("/")[-1]: df.columns}) or materialize(df, path))
+    report = rows(QUERIES["dq_declared"](spark, str(tmp_path)))
+    assert written["stg_hourly_weather"] == written["stg_hourly_pws_weather"] == ["datetime", "weather_station"]
+    assert written["full_weather_places"] == ["datetime", "place", "city", "state", "temperature", "uv_index", "pollutant_value"]
+    assert "wind_direction_dir" not in written["weather"] and "personal_weather" not in written and "long_description" not in written["uv"]
+    models = Models(inputs.bronze(spark, str(tmp_path)), inputs.seeds(spark, str(tmp_path)))
+    tables = {f"{env}.{name}": df for env in ("dev", "prod") for name, df in vars(models.bronze).items() if name in BRONZE_TABLES}
+    whole = checks.report({**tables, **vars(models.seeds), **{name: getattr(models, name) for name in MODEL_NAMES}})
+    assert report == rows(whole) and len(report) == 74 and sum(row[3] > 0 for row in report) > 20
