@@ -418,6 +418,33 @@ def test_attention_gradient_and_sums():
     assert np.exp(attention.log_probability(p, one, target)[:, -1]).sum() == pytest.approx(1)
 
 
+def test_all_groups_share_their_exponentials(monkeypatch):
+    """One call for the attention, one for the groups and one for the members, not one for each group; repeated and rare
+    slots and groups that do not occur give the sums of the plain formulas."""
+    rng = np.random.default_rng(4)
+    windows = np.where(rng.random((3, attention.SPAN + 1)) < 0.5, 7, rng.integers(0, 200, (3, attention.SPAN + 1)))
+    flat = attention.initial(rng.integers(0, 50, attention.SLOTS)).astype(np.float64)
+    p, slots, targets = attention.unpack(flat), windows[:, :-1], windows[:, 1:]
+    z = attention._hidden(p, slots, 0)[-1].reshape(-1, attention.WIDTH)
+    groups = z @ p["group"] + p["group_bias"]
+    members = np.einsum("nw,nwm->nm", z, p["member"][targets.reshape(-1) // attention.MEMBERS]) + p["member_bias"][targets.reshape(-1) // attention.MEMBERS]
+    ln = lambda t, at: t[np.arange(len(at)), at] - np.log(np.exp(t).sum(axis=1))
+    plain = ln(groups, targets.reshape(-1) // attention.MEMBERS) + ln(members, targets.reshape(-1) % attention.MEMBERS)
+    calls = collections.Counter()
+
+    class Counted:
+        def __getattr__(self, name):
+            calls[name] += 1
+            return getattr(np, name)
+
+    monkeypatch.setattr(attention, "np", Counted())
+    assert attention.log_probability(p, slots, targets).reshape(-1) == pytest.approx(plain) and calls["exp"] == 3
+    loss, g = attention.gradient(flat, slots, targets)
+    assert calls["exp"] == 6 and loss == pytest.approx(-plain.mean())
+    unseen = np.setdiff1d(np.arange(attention.SLOTS), slots)
+    assert not attention.unpack(g)["embed"][unseen].any() and attention.unpack(g)["embed"][7].any()
+
+
 def test_language_model_base_scores(spark, documents):
     counts, n = collections.Counter(), 0
     for i, text in documents:
