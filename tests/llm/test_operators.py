@@ -479,6 +479,50 @@ def test_windows_cover_whole_training_texts(monkeypatch):
         assert predicted == expected
 
 
+@pytest.mark.parametrize("part", [4_000_000, 40])
+def test_a_word_is_encoded_once_for_all_texts(monkeypatch, part):
+    """The ids are those of whole texts, also where a match of the tokenizer's pattern goes over the end of a word."""
+    import pandas as pd
+
+    path, encoded = public_tokenizers.path("byte_bpe_50k.tiktoken"), []
+
+    class Counted(lm.Subwords):
+        def __init__(self, path):
+            super().__init__(path)
+            self.plain, self.encoding = self.encoding, self
+
+        def encode_ordinary(self, text):
+            encoded.append(len(text))
+            return self.plain.encode_ordinary(text)
+
+    monkeypatch.setattr(lm, "Subwords", Counted)
+    monkeypatch.setattr(lm, "PART_CHARS", part, raising=False)
+    odd = ["a\u3000 \u3000b", " a\xa0 \xa0\xa0c\x1c 's", None, "", " \n", "don't It's 12a \ufffd", "\x85 \x85 \u65e5\u672c \u00c9\u00e9 \U0001f600"]
+    texts = [*odd, *["Some words AGAIN and again\n " * 300] * 30]
+    subwords, stream, words = lm.Subwords(path), [], collections.Counter({b"": len(texts)})
+    for text in texts:
+        split = (text or "").encode().lower().split()
+        words.update(split)
+        stream += [subwords.end, *(subwords.plain.encode_ordinary(" " + b" ".join(split).decode()) if split else [])]
+    out = pd.concat(lm._gather(path)([pd.DataFrame({"text": texts})]))
+    found = np.concatenate([w[:-1] for w in out["ids"] if w is not None])
+    assert found[: len(stream)].tolist() == stream and (found[len(stream) :] == subwords.end).all()
+    assert {w: n for w, n in zip(out["word"], out["n"]) if w is not None} == words
+    assert part < 1_000 or sum(encoded) < 1_000
+
+
+def test_scores_in_blocks_are_those_of_all_windows(monkeypatch):
+    rng = np.random.default_rng(5)
+    windows = rng.integers(0, attention.SLOTS, (70, attention.SPAN + 1))
+    p = attention.unpack(attention.initial(rng.integers(0, 50, attention.SLOTS)))
+    whole = attention.log_probability(p, windows[:, :-1], windows[:, 9:], 8)
+    sizes = []
+    hidden = attention._hidden
+    monkeypatch.setattr(attention, "_hidden", lambda p, slots, first: (sizes.append(len(slots)), hidden(p, slots, first))[1])
+    monkeypatch.setattr(attention, "BLOCK", 32, raising=False)
+    assert attention.log_probability(p, windows[:, :-1], windows[:, 9:], 8) == pytest.approx(whole) and sizes == [32, 32, 6]
+
+
 def test_scores_of_odd_rows_are_finite(edge):
     rows = lm.scored(edge, public_tokenizers.path("byte_bpe_50k.tiktoken")).collect()
     assert len(rows) == len(EDGE) and all(math.isfinite(r["score"]) for r in rows)
