@@ -523,6 +523,33 @@ def test_scores_in_blocks_are_those_of_all_windows(monkeypatch):
     assert attention.log_probability(p, windows[:, :-1], windows[:, 9:], 8) == pytest.approx(whole) and sizes == [32, 32, 6]
 
 
+def test_windows_are_packed_and_dealt_as_lists_were(spark):
+    """Windows are bytes and no lists; their hashes are Spark's of the lists, so the same windows come first and in a round."""
+    import pandas as pd
+
+    path, texts = public_tokenizers.path("byte_bpe_50k.tiktoken"), ["some words and more " * 40, None, "", "one"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    rows = docs.mapInArrow(lm._gather_arrow(path), "word binary, n long, ids binary, place long, deal long").collect()
+    found = [r for r in rows if r["ids"] is not None]
+    ids = [np.frombuffer(r["ids"], lm._kind(50_256)).tolist() for r in found]
+    assert len(ids) > 4 and {len(w) for w in ids} == {attention.SPAN + 1}
+    assert ids == [w.tolist() for w in pd.concat(lm._gather(path)([pd.DataFrame({"text": texts})]))["ids"] if w is not None]
+    hashes = spark.createDataFrame([(w,) for w in ids], "ids array<int>").select(F.xxhash64("ids"), F.xxhash64("ids", F.lit(1))).collect()
+    assert [(r["place"], r["deal"]) for r in found] == [tuple(h) for h in hashes]
+    assert all(r["place"] is None and r["deal"] is None for r in rows if r["ids"] is None) and lm._kind(1 << 16) == "<i4"
+
+
+def test_a_round_is_the_average_of_its_tasks(spark):
+    """Also with more tasks than add up, and with tasks that have no windows. Weights reach the driver as a few sums."""
+    windows = np.random.default_rng(6).integers(0, 60, (90, attention.SPAN + 1)).astype("<u2")
+    model = lm.Model(np.arange(100.0))
+    parts = [windows[:40], windows[:0], *np.split(windows[40:], 10)]
+    table = spark.sparkContext.parallelize([[(bytearray(w.tobytes()),) for w in part] for part in parts], len(parts)).flatMap(list).toDF("ids binary")
+    expected = sum(attention.train(model.flat, model.slot[part], 1, 0.01) * np.float64(len(part)) for part in parts if len(part)) / 90
+    assert lm._round(table, model, 0.01) == pytest.approx(expected, abs=1e-6)
+    assert lm._round(table.filter("ids IS NULL"), model, 0.01) is None
+
+
 def test_scores_of_odd_rows_are_finite(edge):
     rows = lm.scored(edge, public_tokenizers.path("byte_bpe_50k.tiktoken")).collect()
     assert len(rows) == len(EDGE) and all(math.isfinite(r["score"]) for r in rows)
