@@ -526,6 +526,7 @@ def test_scores_in_blocks_are_those_of_all_windows(monkeypatch):
 def test_windows_are_packed_and_dealt_as_lists_were(spark):
     """Windows are bytes and no lists; their hashes are Spark's of the lists, so the same windows come first and in a round."""
     import pandas as pd
+    import pyarrow as pa
 
     path, texts = public_tokenizers.path("byte_bpe_50k.tiktoken"), ["some words and more " * 40, None, "", "one"]
     docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
@@ -537,6 +538,8 @@ def test_windows_are_packed_and_dealt_as_lists_were(spark):
     hashes = spark.createDataFrame([(w,) for w in ids], "ids array<int>").select(F.xxhash64("ids"), F.xxhash64("ids", F.lit(1))).collect()
     assert [(r["place"], r["deal"]) for r in found] == [tuple(h) for h in hashes]
     assert all(r["place"] is None and r["deal"] is None for r in rows if r["ids"] is None) and lm._kind(1 << 16) == "<i4"
+    column = pa.array([r["ids"] for r in found], pa.binary())
+    assert lm._unpacked(column, "<u2").tolist() == ids and lm._unpacked(column[2:4], "<u2").tolist() == ids[2:4]
 
 
 def test_a_round_is_the_average_of_its_tasks(spark):
