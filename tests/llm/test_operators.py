@@ -445,6 +445,15 @@ def test_all_groups_share_their_exponentials(monkeypatch):
     assert not attention.unpack(g)["embed"][unseen].any() and attention.unpack(g)["embed"][7].any()
 
 
+@pytest.mark.parametrize("n", [1, 5, 700])
+def test_tiles_have_rows_of_one_group(n):
+    """Every row is at one place of a tile of its group, and there are few places more than rows."""
+    group = np.random.default_rng(n).integers(0, attention.GROUPS, n) // 3 * 3
+    of, rows, places = attention._tiles(group)
+    assert rows[places].tolist() == list(range(n)) and of[places // attention.TILE].tolist() == group.tolist()
+    assert len(rows) == len(of) * attention.TILE < n + attention.GROUPS * attention.TILE and len(set(places.tolist())) == n
+
+
 def test_language_model_base_scores(spark, documents):
     counts, n = collections.Counter(), 0
     for i, text in documents:
@@ -553,6 +562,24 @@ def test_a_round_is_the_average_of_its_tasks(spark):
     assert lm._round(table.filter("ids IS NULL"), model, 0.01) is None
 
 
+def test_the_driver_gets_the_head_alone_and_windows_go(spark, monkeypatch):
+    """Words too rare for the head are left out before its sort, windows are removed before the texts are scored, and rows
+    are the same with words in the head and behind it."""
+    texts = ["often often often twice", "often twice once", "more words once each"] * 3 + ["seldom"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    path, sorted_, removed, DataFrame = public_tokenizers.path("byte_bpe_50k.tiktoken"), [], [], type(docs)
+    monkeypatch.setattr(lm, "FIRST_STEPS", 1)
+    wanted = {r["doc_id"]: tuple(r)[1:-1] for r in lm.scored(docs, path).collect()}
+    order, remove = DataFrame.orderBy, lm.folders.remove
+    monkeypatch.setattr(lm, "HEAD", 3)
+    monkeypatch.setattr(DataFrame, "orderBy", lambda self, *c: (sorted_.append(self), order(self, *c))[1])
+    monkeypatch.setattr(lm.folders, "remove", lambda spark, path: (removed.append(path), remove(spark, path)))
+    found = {r["doc_id"]: tuple(r)[1:-1] for r in lm.scored(docs, path).collect()}
+    assert found.keys() == wanted.keys() and all(found[i] == pytest.approx(wanted[i]) for i in wanted)
+    (head,) = [df for df in sorted_ if "word" in df.columns]
+    assert 3 <= head.count() < len(set(" ".join(texts).split())) and len(removed) == 2
+
+
 def test_scores_of_odd_rows_are_finite(edge):
     rows = lm.scored(edge, public_tokenizers.path("byte_bpe_50k.tiktoken")).collect()
     assert len(rows) == len(EDGE) and all(math.isfinite(r["score"]) for r in rows)
