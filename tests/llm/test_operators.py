@@ -445,13 +445,18 @@ def test_all_groups_share_their_exponentials(monkeypatch):
     assert not attention.unpack(g)["embed"][unseen].any() and attention.unpack(g)["embed"][7].any()
 
 
-@pytest.mark.parametrize("n", [1, 5, 700])
-def test_tiles_have_rows_of_one_group(n):
-    """Every row is at one place of a tile of its group, and there are few places more than rows."""
-    group = np.random.default_rng(n).integers(0, attention.GROUPS, n) // 3 * 3
-    of, rows, places = attention._tiles(group)
-    assert rows[places].tolist() == list(range(n)) and of[places // attention.TILE].tolist() == group.tolist()
-    assert len(rows) == len(of) * attention.TILE < n + attention.GROUPS * attention.TILE and len(set(places.tolist())) == n
+def test_the_gradient_of_an_embedding_sums_all_its_places():
+    """Numbers are added two at a time, in the order of places, as by rows; logits are cut only where one is over the bound."""
+    flat = attention.initial(np.ones(attention.SLOTS)) * np.float32(30)
+    windows = np.random.default_rng(7).integers(0, 9, (4, attention.SPAN + 1))
+    loss, g = attention.gradient(flat, windows[:, :-1], windows[:, 1:])
+    assert np.isfinite(loss) and attention.EMBED.shape == (attention.SLOTS, attention.WIDTH // 2)
+    embed = attention.unpack(g)["embed"]
+    assert embed[:9].any(axis=1).all() and not embed[9:].any()
+    for logits in ([[-50.0, 3.0]], [[2.0, 90.0]], [[1.0, -1.0]]):
+        e = np.array(logits)
+        attention._exp(e)
+        assert (e == np.exp(np.clip(logits, -40, 40))).all()
 
 
 def test_language_model_base_scores(spark, documents):
